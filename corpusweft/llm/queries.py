@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_model, quality_rules
+from . import license_scan, mixing, pieces, quality_model, quality_rules, token_counts
+from .shared import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = token_counts.TokenRollup(spark, new_path(spark, "rollup"))
+    changes = token_counts.inserts(_table(spark, sf_dir, "documents"))
+    rollup.apply("documents", changes)
+    rollup.apply("documents", changes)  # sent again: nothing is done
+    return rollup.totals()
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), keep=()))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -22,12 +35,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_mix_sources, op7_quality_rules, op10_quality_classifier)}
+    return {f.__name__: f for f in (op2_token_rollup, op3_sentencepiece, op6_mix_sources, op7_quality_rules, op9_license_scan, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, pieces, quality_model, quality_rules, token_counts
+from . import license_scan, mixing, near_dedup, pieces, quality_model, quality_rules, token_counts
 from .shared import new_path
 
 
@@ -35,6 +35,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(_table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_rollup, op3_sentencepiece, op6_mix_sources, op7_quality_rules, op9_license_scan, op10_quality_classifier)}
+    return {f.__name__: f for f in (op2_token_rollup, op3_sentencepiece, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

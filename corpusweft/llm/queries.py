@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, near_dedup, pieces, quality_model, quality_rules, token_counts
+from . import license_scan, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts
 from .shared import new_path
 
 
@@ -26,6 +26,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(_table(spark, sf_dir, "documents"), keep=()))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_rollup, op3_sentencepiece, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
+    return {f.__name__: f for f in (op2_token_rollup, op3_sentencepiece, op4_suffix_dedup, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts
+from . import license_scan, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts, vp_search
 from .shared import new_path
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_search.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = token_counts.TokenRollup(spark, new_path(spark, "rollup"))
     changes = token_counts.inserts(_table(spark, sf_dir, "documents"))
@@ -52,7 +56,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_rollup, op3_sentencepiece, op4_suffix_dedup, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_vp_search, op2_token_rollup, op3_sentencepiece, op4_suffix_dedup, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

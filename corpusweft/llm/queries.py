@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts, vp_search
+from . import license_scan, lm_score, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts, vp_search
 from .shared import new_path
 
 
@@ -34,6 +34,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.cross_entropy_difference(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vp_search, op2_token_rollup, op3_sentencepiece, op4_suffix_dedup, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_vp_search, op2_token_rollup, op3_sentencepiece, op4_suffix_dedup, op5_lm_scores, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

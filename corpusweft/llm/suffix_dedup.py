@@ -34,15 +34,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .shared import free_shuffles, new_path, written
 from .textops import mix, raw, slices
 
 LENGTH, K = 50, 16
 PASSES = 4
-FLUSH_BYTES = 16 << 20
-PARTITION_BYTES = 32 << 20
+FLUSH_BYTES = 8 << 20
+PARTITION_BYTES = 20 << 20
+BLOCK_BYTES = 1 << 17  # of text at a time: its arrays stay in a core's cache
 COVER, STEP = (0, 1, 3), 7
 SIDE = LENGTH - K  # bytes on either side of an anchor that its strings reach
 AROUND = 2 * SIDE + K
@@ -96,7 +97,7 @@ def records(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes:
     return out
 
 
-def _pieces(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes: int, most: int = 4 << 20) -> Iterator[np.ndarray]:
+def _pieces(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes: int, most: int = BLOCK_BYTES * 4) -> Iterator[np.ndarray]:
     """Records of one slice; a single very long text goes in pieces that overlap by LENGTH - 1 bytes."""
     if len(docs) > 1 or len(b) <= most:
         yield records(docs, b, off, step, passes)
@@ -135,22 +136,39 @@ def settle(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Records that may matter to others, and the spans of those with a smaller doc_id in wholly equal surroundings."""
     if not len(r):
         return r, np.zeros(0, SPAN)
-    words = np.ndarray((len(r), AROUND // 8), "<u8", r.tobytes(), RECORD.fields["text"][1], (RECORD.itemsize, 8))
     key = r["h"] ^ (r["left"].astype(np.uint64) << np.uint64(8)) ^ r["right"]
+    words = np.ndarray((len(r), AROUND // 8), "<u8", np.ascontiguousarray(r).view(np.uint8).data, RECORD.fields["text"][1], (RECORD.itemsize, 8))
     for j in range(words.shape[1]):
-        key = mix(key + words[:, j])
+        key = (key ^ words[:, j]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
     key = mix(key ^ (r["text"][:, -4:].astype(np.uint64) @ (np.uint64(1) << np.arange(0, 32, 8, dtype=np.uint64))))
-    order = np.lexsort((r["doc"], key))
-    r, key = r[order], key[order]
-    same = key[1:] == key[:-1]
-    both = np.flatnonzero(same)
-    same[both] = (r["h"][both] == r["h"][both + 1]) & (r["left"][both] == r["left"][both + 1]) & (r["right"][both] == r["right"][both + 1]) & (r["text"][both] == r["text"][both + 1]).all(axis=1)
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    touched = np.zeros(len(r), bool)
+    touched[1:] |= same
+    touched[:-1] |= same
+    rows = order[touched]  # those that share their surroundings' hash
+    if not len(rows):
+        return r, np.zeros(0, SPAN)
+    t, key = r[rows], key[rows]
+    same = (key[1:] == key[:-1]) & (t["h"][1:] == t["h"][:-1]) & (t["left"][1:] == t["left"][:-1]) & (t["right"][1:] == t["right"][:-1]) & (t["text"][1:] == t["text"][:-1]).all(axis=1)
     first = np.flatnonzero(np.r_[True, ~same])
-    least = np.repeat(r["doc"][first], np.diff(np.r_[first, len(r)]))
-    later = r["doc"] > least
-    gone = r[later]
+    least = np.repeat(np.minimum.reduceat(t["doc"], first), np.diff(np.r_[first, len(t)]))
+    later = t["doc"] > least
+    stays = np.ones(len(r), bool)
+    stays[rows[later]] = False
+    gone = t[later]
     pos = gone["pos"].astype(np.int64)
-    return r[~later], _spans(gone["doc"], pos - gone["left"], pos + K + gone["right"])
+    return r[stays], _spans(gone["doc"], pos - gone["left"], pos + K + gone["right"])
+
+
+def _shared(r: np.ndarray) -> np.ndarray:
+    """The records whose anchor occurs in two documents or more, by anchor."""
+    order = np.argsort(r["h"])
+    h, doc = r["h"][order], r["doc"][order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+    return r[order[np.repeat(several, np.diff(np.r_[first, len(r)]))]]
 
 
 def cover_ranks(text: np.ndarray) -> dict[int, np.ndarray]:
@@ -182,8 +200,6 @@ def _number(text: np.ndarray, at: int, size: int) -> np.ndarray:
 def sorted_bucket(r: np.ndarray) -> np.ndarray:
     """Spans found by sorting a bucket's suffixes: r has one row for each distinct surroundings and place in its smallest document."""
     found = np.zeros(0, SPAN)
-    order = np.argsort(r["h"], kind="stable")
-    r = r[order]
     _, group = np.unique(r["h"], return_inverse=True)
     ranks = cover_ranks(r["text"])
     low, high = np.full(len(r), AROUND), np.full(len(r), -1)
@@ -211,17 +227,11 @@ def bucket_spans(r: np.ndarray) -> np.ndarray:
     """Spans to remove among the records of some buckets."""
     if not len(r):
         return np.zeros(0, SPAN)
-    r = r[np.argsort(r["h"], kind="stable")]
-    first = np.flatnonzero(np.r_[True, r["h"][1:] != r["h"][:-1]])
-    size = np.diff(np.r_[first, len(r)])
-    several = np.repeat(np.minimum.reduceat(r["doc"], first) != np.maximum.reduceat(r["doc"], first), size)
-    rest, spans = settle(r[several])
+    rest, spans = settle(_shared(r))
     if len(rest):
-        rest = rest[np.argsort(rest["h"], kind="stable")]
-        first = np.flatnonzero(np.r_[True, rest["h"][1:] != rest["h"][:-1]])
-        size = np.diff(np.r_[first, len(rest)])
-        several = np.repeat(np.minimum.reduceat(rest["doc"], first) != np.maximum.reduceat(rest["doc"], first), size)
-        spans = np.concatenate([spans, sorted_bucket(rest[several])])
+        rest = _shared(rest)
+        if len(rest):
+            spans = np.concatenate([spans, sorted_bucket(rest)])
     return _merge(spans)
 
 
@@ -229,12 +239,21 @@ def _size(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def _partition_keys(spark: SparkSession, parts: int) -> np.ndarray:
+    """A key for each of ``parts`` partitions that repartition sends there, so that none gets two buckets."""
+    to = spark.range(parts * 24).groupBy(F.pmod(F.hash("id"), F.lit(parts)).alias("p")).agg(F.min("id").alias("key")).toPandas()
+    keys = np.arange(parts, dtype=np.int64)
+    keys[to["p"].to_numpy()] = to["key"].to_numpy()
+    return keys
+
+
 def spans_of(documents: DataFrame, passes: int = PASSES) -> DataFrame:
     """(doc_id, start, end): spans to remove, which may overlap, in the shared folder."""
     spark = documents.sparkSession
     d = documents.where("doc_id is not null").select("doc_id", "text")
     parts = max(spark.sparkContext.defaultParallelism, min(200_000, int(1.7 * _size(documents) * RECORD.itemsize / 18 / passes / PARTITION_BYTES) + 1))
     path = new_path(spark, "spans")
+    to = _partition_keys(spark, parts)
     for step in range(passes):
 
         def send(batches: Iterator[pa.RecordBatch], step: int = step) -> Iterator[pa.RecordBatch]:
@@ -249,16 +268,16 @@ def spans_of(documents: DataFrame, passes: int = PASSES) -> DataFrame:
                 r, bucket = r[order], bucket[order]
                 first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(r) else []
                 ends = [*first[1:], len(r)] if len(r) else []
-                keys = [int(bucket[a]) for a in first]
+                keys = [int(to[bucket[a]]) for a in first]
                 data = [r[a:b].tobytes() for a, b in zip(first, ends)]
                 kinds = [0] * len(data)
                 if len(spans):
-                    keys.append(int(spans["doc"][0] % parts)), data.append(spans.tobytes()), kinds.append(1)
+                    keys.append(int(to[spans["doc"][0] % parts])), data.append(spans.tobytes()), kinds.append(1)
                 for a in range(0, len(data), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 64], pa.int64()), pa.array(kinds[a : a + 64], pa.int32()), pa.array(data[a : a + 64], pa.binary())], ["bucket", "kind", "data"])
 
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, most=BLOCK_BYTES):
                     b, off = raw(part.column("text"))
                     for r in _pieces(part.column("doc_id").to_numpy(), b, off, step, passes):
                         held.append(r)

@@ -10,6 +10,7 @@ from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from .vectorised import vectorised
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -143,7 +144,7 @@ def convert(data: bytes | None, kind: str | None, seconds: int = 30) -> str | No
     return None
 
 
-@F.pandas_udf("string")
+@vectorised("string")
 def _converted(data: pd.Series, kind: pd.Series) -> pd.Series:
     return pd.Series([convert(None if d is None else bytes(d), k) for d, k in zip(data, kind)])
 

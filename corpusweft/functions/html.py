@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import SMALL, Config
 from .url import resolve, url_join
 from . import url as U
+from .vectorised import vectorised
 
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol optgroup option p pre section select table tbody td tfoot th thead title tr ul".split())
 SILENT = frozenset("script style noscript template head iframe object embed svg".split())
@@ -101,12 +102,12 @@ def parse_page(html: str | None) -> dict:
     return {"title": title, "paragraphs": p.paragraphs, "hrefs": p.hrefs, "base": p.base}
 
 
-@F.pandas_udf(PAGE)
+@vectorised(PAGE)
 def parsed_page(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse_page(h) for h in html], columns=["title", "paragraphs", "hrefs", "base"])
 
 
-@F.pandas_udf("array<string>")
+@vectorised("array<string>")
 def resolved_links(source: pd.Series, base: pd.Series, hrefs: pd.Series) -> pd.Series:
     """Distinct absolute links in order; lines of a link are joined."""
     def one(src: str, b: str | None, links) -> list[str]:
@@ -165,7 +166,7 @@ def decode_text(body: bytes | None, candidates: tuple[str, ...] = ()) -> str | N
     return None
 
 
-@F.pandas_udf("text string, declared string")
+@vectorised("text string, declared string")
 def decoded_html(body: pd.Series, detected: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([decode_html(None if b is None else bytes(b), d) for b, d in zip(body, detected)], columns=["text", "declared"])
 

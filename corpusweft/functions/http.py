@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import SMALL, Config
 from .url import resolve_link
+from .vectorised import vectorised
 
 REDIRECTS = (301, 302, 303, 307)
 #: file type by media type
@@ -79,7 +80,7 @@ def parse_response(data: bytes | None, robots: bool = False) -> dict:
     return row | {"body": body}
 
 
-@F.pandas_udf(PARSED)
+@vectorised(PARSED)
 def response(data: pd.Series, robots: pd.Series) -> pd.DataFrame:
     rows = [parse_response(None if d is None else bytes(d), bool(r)) for d, r in zip(data, robots)]
     return pd.DataFrame(rows, columns=["code", "message", "headers", "body", "error"]).astype({"code": "Int32"})

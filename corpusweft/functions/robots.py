@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .url import robots_unquote, unquote_path
+from .vectorised import vectorised
 
 RULES = "array<struct<ruleset:int,is_default:boolean,agents:array<string>,delay:double,rule:int,allow:boolean,path:string,pattern:string>>"
 _FIELD = re.compile(r"(user-?agent|allow|disallow|crawl-delay|sitemap):[ \t]*(.*)", re.I)
@@ -75,7 +76,7 @@ def parse_robots(body: str | None) -> list[dict]:
     ]
 
 
-@F.pandas_udf(RULES)
+@vectorised(RULES)
 def robots_rules(bodies: pd.Series) -> pd.Series:
     return bodies.map(parse_robots)
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import SMALL, Config
 from ..functions import text as T
+from ..functions.vectorised import vectorised
 
 CLASSED = "array<struct<text:string,words:int,link_chars:int,dom_path:string,heading:boolean,cfclass:string,class:string>>"
 
@@ -86,7 +87,7 @@ def revise(paragraphs: list[dict], config: Config = SMALL) -> list[dict]:
     return [p | {"class": c} for p, c in zip(paragraphs, cls)]
 
 
-@F.pandas_udf(CLASSED)
+@vectorised(CLASSED)
 def _revised(paragraphs: pd.Series) -> pd.Series:
     return paragraphs.map(lambda ps: revise([dict(p) for p in ps]) if ps is not None else None)
 

@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def gram_array(text: Column, n: int = 3) -> Column:
-    """All n-grams of a text whose white space is collapsed, with two blanks before and one after (unigrams: one after)."""
+def characters(text: Column, n: int = 3) -> Column:
+    """Characters of a text whose white space is collapsed, with two blanks before and one after (unigrams: one after)."""
     flat = F.trim(F.regexp_replace(text, r"\s+", " "))
-    padded = F.when(flat == "", F.lit("")).otherwise(F.concat(F.lit("  " if n > 1 else ""), flat, F.lit(" ")))
-    return F.when(F.length(padded) < n, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n))))
+    return F.split(F.when(flat == "", F.lit("")).otherwise(F.concat(F.lit("  " if n > 1 else ""), flat, F.lit(" "))), "")
+
+
+def gram_array(chars: str, n: int = 3) -> Column:
+    """All n-grams of a column of characters; each is put together from n of them, so work is linear in the text."""
+    at = [f"get({chars}, i + {j})" if j else f"get({chars}, i)" for j in range(n)]
+    return F.expr(f"if(size({chars}) < {n} or {chars}[0] = '', cast(array() as array<string>), transform(sequence(0, size({chars}) - {n}), i -> concat({', '.join(at)})))")
 
 
 def grams(texts: DataFrame, keys: list[str], text: str = "text", n: int = 3) -> DataFrame:
     """(keys, gram), one row for each occurrence."""
-    return texts.select(*keys, gram_array(F.col(text), n).alias("_g")).select(*keys, F.explode_outer("_g").alias("gram")).where("gram is not null")
+    c = texts.select(*keys, characters(F.col(text), n).alias("_c")).select(*keys, gram_array("_c", n).alias("_g"))
+    return c.select(*keys, F.explode_outer("_g").alias("gram")).where("gram is not null")
 
 
 def model(texts: DataFrame, lang: str = "lang", text: str = "text", n: int = 3) -> DataFrame:
@@ -32,7 +38,7 @@ def cosine_matrix(models: DataFrame, lang: str = "lang") -> DataFrame:
     dot = a.join(b, "gram").groupBy("lang_a", "lang_b").agg(F.sum(F.col("na") * F.col("nb")).alias("dot"))
     n = norms(models, lang)
     j = dot.join(n.select(F.col(lang).alias("lang_a"), F.col("norm").alias("norm_a")), "lang_a").join(n.select(F.col(lang).alias("lang_b"), F.col("norm").alias("norm_b")), "lang_b")
-    return j.select("lang_a", "lang_b", F.round(1 - F.col("dot") / (F.col("norm_a") * F.col("norm_b")), 6).alias("difference"))
+    return j.select("lang_a", "lang_b", (F.round(1 - F.col("dot") / (F.col("norm_a") * F.col("norm_b")), 6) + 0.0).alias("difference"))
 
 
 def squared_norm(sorted_grams: Column) -> Column:
@@ -55,8 +61,9 @@ def differences(docs: DataFrame, models: DataFrame, doc_id: str = "doc_id", text
     The dot product is a sum over occurrences, so grams are never grouped by document:
     one row for each document and language is shuffled, combined where it was read.
     """
-    g = docs.select(doc_id, F.array_sort(gram_array(F.col(text), n)).alias("_g"))
-    occurrences = g.select(doc_id, squared_norm(F.col("_g")).alias("_sq"), F.explode_outer("_g").alias("gram")).where("gram is not null")
+    g = docs.select(doc_id, characters(F.col(text), n).alias("_c")).select(doc_id, F.sort_array(gram_array("_c", n)).alias("_g"))
+    normed = g.select(doc_id, squared_norm(F.col("_g")).alias("_sq"), "_g")  # a step of its own: beside the explode it would be done for each gram
+    occurrences = normed.select(doc_id, "_sq", F.explode_outer("_g").alias("gram")).where("gram is not null")
     m = models.select(F.col(lang).alias("model_lang"), "gram", F.col("n").alias("_m")).join(norms(models, lang).select(F.col(lang).alias("model_lang"), "norm"), "model_lang")
     m = m.groupBy("gram").agg(F.collect_list(F.struct("model_lang", "_m", "norm")).alias("_models"))  # one entry a language
     hits = occurrences.join(m, "gram").select(doc_id, "_sq", F.explode("_models").alias("h"))
@@ -85,7 +92,7 @@ def stop_word_density(docs: DataFrame, stops: DataFrame, doc_id: str = "doc_id",
     from ..functions.text import tokens
 
     words = docs.select(doc_id, F.col(lang).alias("_lang"), tokens(F.lower(F.coalesce(F.col(text), F.lit("")))).alias("_w"))
-    n = words.select(doc_id, F.size("_w").cast("long").alias("n_words"), "_lang", F.explode_outer("_w").alias("word"))
+    n = words.select(doc_id, F.size("_w").cast("long").alias("n_words"), "_lang", "_w").select(doc_id, "n_words", "_lang", F.explode_outer("_w").alias("word"))
     hit = n.join(stops.select(F.col(lang).alias("_lang"), "word", F.lit(1).alias("_hit")), ["_lang", "word"], "left")
     out = hit.groupBy(doc_id).agg(F.first("n_words").alias("n_words"), F.coalesce(F.sum("_hit"), F.lit(0)).alias("n_stops"))
     return out.withColumn("density", F.round(F.when(F.col("n_words") > 0, F.col("n_stops") / F.col("n_words")).otherwise(0.0), 6))

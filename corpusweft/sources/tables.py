@@ -6,6 +6,7 @@ import struct
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from ..functions.vectorised import vectorised
 
 
 def snapshot(tables: dict[str, DataFrame], path: str, version: str) -> None:
@@ -32,13 +33,13 @@ def restore(spark: SparkSession, path: str, names: list[str], version: str | Non
     return {n: spark.read.parquet(f"{path}/{chosen}/{n}") for n in names}
 
 
-@F.pandas_udf("array<long>")
+@vectorised("array<long>")
 def unpack_keys(packed: pd.Series) -> pd.Series:
     """Little-endian 64-bit integers of a packed set."""
     return packed.map(lambda b: list(struct.unpack(f"<{len(b) // 8}q", bytes(b)[: len(b) // 8 * 8])), na_action="ignore")
 
 
-@F.pandas_udf("binary")
+@vectorised("binary")
 def pack_keys(keys: pd.Series) -> pd.Series:
     return keys.map(lambda k: struct.pack(f"<{len(k)}q", *k), na_action="ignore")
 

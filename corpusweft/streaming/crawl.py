@@ -58,7 +58,7 @@ class Politeness(StatefulProcessor):
 def polite(requests: DataFrame, key: str, seconds: float) -> DataFrame:
     """(key, id, at, accepted) of requests with columns id (long) and at (seconds, double)."""
     r = requests.select(F.col(key).cast("string").alias("key"), F.col("id").cast("long").alias("id"), F.col("at").cast("double").alias("at"))
-    return r.groupBy("key").transformWithStateInPandas(Politeness(seconds), "key string, id long, at double, accepted boolean", "Append", "none")
+    return r.groupBy("key").transformWithStateInPandas(Politeness(seconds), "key string, id long, at double, accepted boolean", "Append", "ProcessingTime")
 
 
 def accept_in_order(requests: DataFrame, key: str, order: list[str], at: str, seconds: float) -> DataFrame:

@@ -21,3 +21,12 @@ def ensure_checkpoints(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     ensure_checkpoints(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores is dealt out over them; a larger one stays as it is.
+
+    For scans alone: counting the partitions of a plan with a shuffle would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .config import Config
 from .functions import html as H, http, robots as R, text as T, url as U
-from .lineage import ensure_checkpoints
+from .lineage import ensure_checkpoints, spread
 from .operators import boilerplate, dedup, frontier, langid, stats, windows
 from .plans import reprocess as plan
 from .sources import prevertical, seeds, tables
@@ -31,7 +31,8 @@ def query(sql: str | None = None):
 
 
 def read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    table = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(table) if name in ("documents", "pages") else table
 
 
 # --- shared SQL pieces ------------------------------------------------------------------

@@ -168,12 +168,23 @@ def test_tables(spark, tmp_path):
     assert rows(k.select(tables.unpack_keys(tables.pack_keys(F.col("k"))))) == rows(k)
 
 
+def finish(spark, q, table, n):
+    """Stop a query when its table is full: one with timers or expiring state doesn't end by itself."""
+    try:
+        for _ in range(40):
+            if spark.table(table).count() >= n or not q.isActive:
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+
+
 def test_stream_equals_batch(spark, tmp_path):
     e = spark.createDataFrame([(i, f"k{i % 3}", float((i * 7) % 50)) for i in range(60)], "id long, k string, at double")
     e.coalesce(1).write.parquet(str(tmp_path / "in"))
     s = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
-    q = crawl.polite(s, "k", 5.0).writeStream.format("memory").queryName("polite").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    q.awaitTermination()
+    q = crawl.polite(s, "k", 5.0).writeStream.format("memory").queryName("polite").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
+    finish(spark, q, "polite", 60)
     batch = crawl.accept_in_order(e, "k", ["at", "id"], "at", 5.0)
     assert {(r["id"], r["accepted"]) for r in spark.table("polite").collect()} == {(r["id"], r["accepted"]) for r in batch.collect()}
     q = crawl.first_by_content(s.withColumn("text", F.col("k"))).select("k").writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "d")).trigger(availableNow=True).start()
@@ -187,11 +198,5 @@ def test_domain_states(spark, tmp_path):
     d.write.parquet(str(tmp_path / "in"))
     s = crawl.domain_states(spark.readStream.schema(d.schema).parquet(str(tmp_path / "in")), Config())
     q = s.writeStream.format("memory").queryName("states").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
-    try:  # with timers registered, a query that ends by itself would wait for them
-        for _ in range(60):
-            if spark.table("states").count() >= 3 or not q.isActive:
-                break
-            time.sleep(1)
-    finally:
-        q.stop()
+    finish(spark, q, "states", 3)
     assert {(r["host"], r["status"]) for r in spark.table("states").collect()} == {("a", "ready"), ("b", "bad"), ("c", "bad")}

@@ -84,6 +84,8 @@ def records(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes:
     at, h = at[mine], h[mine]
     owner = np.searchsorted(off, at, side="right") - 1
     out = np.zeros(len(at), RECORD)
+    if not len(at):
+        return out
     start, end = off[owner], off[owner + 1]
     out["h"], out["doc"], out["pos"] = h, docs[owner], at - start
     out["left"], out["right"] = np.minimum(SIDE, at - start), np.minimum(SIDE, end - at - K)
@@ -236,7 +238,11 @@ def bucket_spans(r: np.ndarray) -> np.ndarray:
 
 
 def _size(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Bytes of text, roughly: from the files of a scan if Spark knows them, else counted in a pass."""
+    known = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if known < 1 << 50:
+        return int(1.7 * known)
+    return int(df.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
 def _partition_keys(spark: SparkSession, parts: int) -> np.ndarray:
@@ -251,7 +257,7 @@ def spans_of(documents: DataFrame, passes: int = PASSES) -> DataFrame:
     """(doc_id, start, end): spans to remove, which may overlap, in the shared folder."""
     spark = documents.sparkSession
     d = documents.where("doc_id is not null").select("doc_id", "text")
-    parts = max(spark.sparkContext.defaultParallelism, min(200_000, int(1.7 * _size(documents) * RECORD.itemsize / 18 / passes / PARTITION_BYTES) + 1))
+    parts = max(spark.sparkContext.defaultParallelism, min(200_000, int(_size(documents) * RECORD.itemsize / 18 / passes / PARTITION_BYTES) + 1))
     path = new_path(spark, "spans")
     to = _partition_keys(spark, parts)
     for step in range(passes):

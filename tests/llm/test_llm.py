@@ -116,6 +116,28 @@ def test_lm(spark, docs, odd, empty):
     assert lm_score.cross_entropy_difference(empty, odd).count() == 0
 
 
+@pytest.mark.parametrize("slots", [0, 500, 1 << 22])
+def test_lm_uses_every_bigram(spark, docs, odd, slots):
+    from collections import Counter
+    from math import log
+
+    enc = token_counts.tokenizer("/opt/tokenizers/byte_bpe_50k.tiktoken").encode_ordinary
+    d = docs.limit(60).withColumn("extra", F.lit("x")).unionByName(odd)
+    bench = docs.where("doc_id % 7 = 0").limit(9)
+    pairs = lambda text: list(zip([lm_score.START, *(t := enc(text or ""))], t))
+    rows, target = [(r["doc_id"], pairs(r["text"])) for r in d.collect()], [pairs(r["text"]) for r in bench.collect()]
+    models = []
+    for texts in (target, [p for _, p in rows]):
+        n, c, u = Counter(), Counter(), Counter()
+        for p in texts:
+            n.update(p), c.update(a for a, _ in p), u.update(b for _, b in p)
+        models.append((n, c, u, sum(u.values()) + lm_score.PRIOR * lm_score.VOCABULARY))
+    loss = lambda p, m: -sum(log((m[0][a, b] + lm_score.SPREAD * (m[2][b] + lm_score.PRIOR) / m[3]) / (m[1][a] + lm_score.SPREAD)) for a, b in p) / len(p)
+    want = sorted((i or 0, len(p), *([loss(p, m) for m in models] if p else [-1, -1])) for i, p in rows)
+    got = sorted((r["doc_id"] or 0, r["n_tokens"], *([r["target_loss"], r["background_loss"]] if r["n_tokens"] else [-1, -1])) for r in lm_score.lm_scores(d, lm_score.fit(bench, d, slots=slots)).collect())
+    assert len(got) == len(want) and [(g, w) for g, w in zip(got, want) if not np.allclose(g, w, rtol=1e-9, atol=1e-9)] == []
+
+
 def test_mix(spark, odd, empty, docs):
     got = mixing.mix(odd).collect()
     assert len(got) == 8 and all(r["taken"] <= 2 * r["size"] for r in got) and mixing.mix(empty).count() == 0

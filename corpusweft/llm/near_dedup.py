@@ -18,8 +18,9 @@ similarity of ``SIMILAR`` or more; classes are the connected components.
    hold every pair at ``SIMILAR`` but also less similar texts.
 4. In each family, pairs are taken by rising distance, and those that would join two
    parts are verified by the shingle samples: exact for texts of up to ``SAMPLE``
-   distinct shingles, and with a standard error of about 0.012 beyond. A family of more
-   than ``FAMILY`` members is verified bucket by bucket instead.
+   distinct shingles. Beyond, the estimate's standard error is about 0.012; within
+   ``CLEAR`` of ``SIMILAR`` it decides nothing, and the whole sets are compared. A family
+   of more than ``FAMILY`` members is verified bucket by bucket instead.
 
 Defined results: a null text counts as empty, and all texts without a word are equal to
 each other only if their characters are; a text of one to four words has its word
@@ -46,6 +47,7 @@ BITS, SAMPLE = 256, 1024
 TABLES, SAMPLED = 32, 12
 CAP, EXTRA, WAYS, SPLIT = 1024, 4, 4, 100_000
 LOOSE, FAMILY = 54, 4096
+CLEAR, TASK_PAIRS, PART = 0.06, 128, 2048
 
 _RNG = np.random.default_rng(20240229)
 #: order of the coordinates of each table: the first SAMPLED group, the rest extend
@@ -256,13 +258,14 @@ def similarity(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> float:
 
 
 def verified_links(members: DataFrame) -> DataFrame:
-    """Links of rows (family, id, sketch, sample) at SIMILAR or more: a spanning forest of each family."""
+    """(family, a, b, sure) of rows (family, id, sketch, sample): a spanning forest of each family's links at
+    SIMILAR or more that are sure, and all pairs between its trees that the samples leave open."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, "family"):
             key, ids = t["family"].to_numpy(), t["id"].to_numpy()
             sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
             raw = [np.frombuffer(x, "<u4") for x in t["sample"].to_pylist()]
-            forest, a, b = Forest(len(key)), [], []
+            forest, a, b, unsure = Forest(len(key)), [], [], []
             starts = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
             for s, e in zip(starts[:-1], starts[1:]):  # one family's pairs at a time
                 found = list(near_pairs(key[s:e], sketch[s:e], LOOSE))
@@ -276,12 +279,61 @@ def verified_links(members: DataFrame) -> DataFrame:
                     ni, nj = int(raw[i][-1]), int(raw[j][-1])
                     if min(ni, nj) < SIMILAR * max(ni, nj):
                         continue
-                    if ni and similarity(raw[i][:-1], raw[j][:-1], ni, nj) >= SIMILAR:
+                    near = similarity(raw[i][:-1], raw[j][:-1], ni, nj) if ni else 0
+                    if max(ni, nj) > SAMPLE and abs(near - SIMILAR) <= CLEAR:
+                        unsure.append((i, j))
+                    elif near >= SIMILAR:
                         forest.join(i, j)
                         a.append(i), b.append(j)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a] if a else ids[:0]), pa.array(ids[b] if b else ids[:0])], ["a", "b"])
+            n, unsure = len(a), [x for x in unsure if forest.root(x[0]) != forest.root(x[1])]
+            a, b = (np.array([*own, *(x[k] for x in unsure)], np.int64) for k, own in enumerate((a, b)))
+            yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(ids[a]), pa.array(ids[b]), pa.array(np.arange(len(a)) < n)], ["family", "a", "b", "sure"])
+
+    return members.select("family", "id", "sketch", "sample").repartition("family").sortWithinPartitions("family").mapInArrow(run, "family long, a long, b long, sure boolean")
+
+
+def exact_links(pairs: DataFrame, documents: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b) of those pairs (family, a, b) whose whole shingle sets are at SIMILAR or more.
 
-    return members.select("family", "id", "sketch", "sample").repartition("family").sortWithinPartitions("family").mapInArrow(run, "a long, b long")
+    A family's pairs are dealt to tasks by a block of a and one of b, so that a set is sent
+    once for all of a task's pairs.
+    """
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                g, off = shingle_sets(part.column("text"))
+                texts, keys, ids = part.column("text").to_pylist(), part.column("text_key").to_pylist(), part.column("id").to_pylist()
+                own = [k for k, t in enumerate(texts) if xxhash.xxh128_digest(t) == keys[k]]
+                cuts = [(ids[k], g[c : min(c + PART, off[k + 1])].tobytes()) for k in own for c in range(off[k], off[k + 1], PART)]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in cuts], pa.int64()), pa.array([x for _, x in cuts], pa.binary())], ["id", "part"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups(batches, "task"):
+            parts, asked, found = {}, [], []
+            for task, i, other, part in zip(*(t[c].to_pylist() for c in ("task", "id", "other", "part"))):
+                if part is None:
+                    asked.append((task, i, other))
+                else:
+                    parts.setdefault((task, i), []).append(np.frombuffer(part, np.uint64))
+            sets = {k: np.unique(np.concatenate(v)) for k, v in parts.items()}
+            for task, i, j in asked:
+                x, y = sets[task, i], sets[task, j]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both >= SIMILAR * (len(x) + len(y) - both):
+                    found.append((i, j))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    blocks = pairs.groupBy("family").agg(F.ceil(F.sqrt(F.count("*") / TASK_PAIRS)).alias("blocks"))
+    task = F.xxhash64("family", F.pmod(F.xxhash64("a"), "blocks"), F.pmod(F.xxhash64("b"), "blocks"))
+    asked = written(pairs.join(blocks, "family").select(task.alias("task"), "a", "b").distinct(), "asked")
+    ends = asked.select("task", F.col("a").alias("id")).unionByName(asked.select("task", F.col("b").alias("id"))).distinct()
+    keys = members.join(ends.select("id").distinct(), "id", "left_semi").select("id", "text_key")
+    # a set of that size has more bytes of text
+    texts = documents.where(F.octet_length("text") > SAMPLE).select(F.col("doc_id").alias("id"), "text")
+    sets = written(texts.join(keys, "id").select("id", "text", "text_key").mapInArrow(whole, "id long, part binary"), "sets")
+    rows = sets.join(ends, "id").select("task", "id", F.lit(None).cast("long").alias("other"), "part")
+    rows = rows.unionByName(asked.select("task", F.col("a").alias("id"), F.col("b").alias("other"), F.lit(None).cast("binary").alias("part")))
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
 def classes(documents: DataFrame) -> DataFrame:
@@ -296,7 +348,7 @@ def classes(documents: DataFrame) -> DataFrame:
     family = components(links.unionByName(same.where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b"))))
     # samples of families' representatives only; rows of one text have equal samples
     one = docs.join(by_text.select("text_key", "id"), "text_key").where("doc_id = id").join(family.withColumnRenamed("node", "id"), "id").dropDuplicates(["id"])
-    members = written(one.select(F.col("component").alias("family"), "id", "sketch", "sample"), "members")
+    members = written(one.select(F.col("component").alias("family"), "id", "text_key", "sketch", "sample"), "members")
     large = written(members.groupBy("family").count().where(F.col("count") > FAMILY).select("family"), "large")
     if not large.isEmpty():
         inside = members.join(large, "family", "left_semi")
@@ -305,6 +357,10 @@ def classes(documents: DataFrame) -> DataFrame:
         sure = verified_links(members.join(large, "family", "left_anti")).unionByName(verified_links(big))
     else:
         sure = verified_links(members)
+    checked = written(sure, "checked")
+    sure, unsure = checked.where("sure").select("a", "b"), checked.where("not sure").select("family", "a", "b")
+    if not unsure.isEmpty():
+        sure = sure.unionByName(exact_links(unsure, documents, members))
     joined = components(sure)
     forget(links)
     text_class = by_text.join(joined.withColumnRenamed("node", "id"), "id", "left").select("text_key", F.coalesce("component", "id").alias("class_id"))

@@ -222,6 +222,20 @@ def test_near(spark, odd, empty):
     assert kept.columns == odd.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6]
 
 
+def test_near_long_texts_exactly(spark):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(12):  # similarity 0.8016 or 0.7982, of about 3,000 shingles
+        a = [str(rnd.randrange(10**9)) for _ in range(3000)]
+        b = a[:]
+        for at in range(66 + k % 2):
+            b[10 + 40 * at] = "changed"
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    got = {r[0]: r[1] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_classes(rows)
+    assert got == want and len(set(want.values())) == 18
+
+
 def test_license(spark, odd, empty):
     rows = [(1, "Foo. CC-BY x; all Rights\nreserved! cc by"), (2, "Permission is hereby granted, free of charge, to any lucky person obtaining a copy of this software and associated documentation files"), (3, None), (4, "released under the MIT license"), (5, "GENERAL public license é9"), (6, "cc by cc by")]
     got = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -1,8 +1,10 @@
 """Connected components of a table of links, by contraction in the shared folder.
 
-Each round gives every node its smallest neighbour as parent, follows parents of
-parents once, and replaces links by links of parents; the graph shrinks by at least
-half each round, and no node's links are ever gathered into one row.
+Each round gives every node its smallest neighbour, or itself, as parent, follows parents
+to their roots by doubling (a chain of n parents takes log2 n steps), and replaces links
+by links of roots. A node without a smaller neighbour that nobody chose has one in the
+next round, so two rounds leave at most half the nodes, and a root is always the smallest
+node of its tree. No node's links are ever gathered into one row.
 """
 
 from __future__ import annotations
@@ -12,24 +14,42 @@ from pyspark.sql import DataFrame, functions as F
 from .shared import forget, written
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) of every node that has a link in (a, b); component: its smallest node."""
+def rooted(parent: DataFrame) -> DataFrame:
+    """(node, p) with p the root, of a written table (node, p) in which every p is a node too."""
+    while True:
+        up = parent.select(F.col("node").alias("p"), F.col("p").alias("pp"))
+        step = parent.join(up, "p").select("node", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
+        nxt = written(step, "parents")
+        forget(parent)
+        parent = nxt.select("node", "p")
+        if nxt.where("moved").isEmpty():
+            return parent
+
+
+def components(links: DataFrame, rounds: list[int] | None = None) -> DataFrame:
+    """(node, component) of every node that has a link in (a, b); component: its smallest node.
+
+    ``rounds``, if given, gets the number of rounds.
+    """
     edges = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    labels = None
+    labels, n = None, 0
     while not edges.isEmpty():
+        n += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("p")), "parents")
-        up = parent.select(F.col("node").alias("p"), F.col("p").alias("pp"))
-        parent2 = written(parent.join(up, "p", "left").select("node", F.coalesce("pp", "p").alias("p")), "parents")
-        forget(parent)
-        moved = parent2.select(F.col("node").alias("component"), F.col("p").alias("up"))
-        new = parent2.select("node", F.col("p").alias("component")) if labels is None else labels.join(moved, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
+        parent = rooted(written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("p")), "parents"))
+        if labels is None:
+            new = parent.select("node", F.col("p").alias("component"))
+        else:
+            moved = parent.select(F.col("node").alias("component"), F.col("p").alias("up"))
+            new = labels.join(moved, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
         new = written(new, "labels")
-        pa = parent2.select(F.col("node").alias("a"), F.col("p").alias("pa"))
-        pb = parent2.select(F.col("node").alias("b"), F.col("p").alias("pb"))
+        pa = parent.select(F.col("node").alias("a"), F.col("p").alias("pa"))
+        pb = parent.select(F.col("node").alias("b"), F.col("p").alias("pb"))
         j = edges.join(pa, "a").join(pb, "b").where("pa <> pb")
         nxt = written(j.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
-        for old in [edges, parent2] + ([labels] if labels is not None else []):
+        for old in [edges, parent] + ([labels] if labels is not None else []):
             forget(old)
         edges, labels = nxt, new
+    if rounds is not None:
+        rounds.append(n)
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -9,18 +9,22 @@ similarity of ``SIMILAR`` or more; classes are the connected components.
 2. Each of ``TABLES`` hash tables groups the representatives by ``SAMPLED`` random
    coordinates of the SimHash. Texts at similarity 0.8 differ in each coordinate with
    probability 0.15, so they share a bucket of some table in more than 99 of 100 cases.
-   A bucket of more than ``CAP`` members is split by ``EXTRA`` further coordinates, in
-   ``WAYS`` independent ways so that few pairs are parted in all of them; a bucket above
-   ``SPLIT`` is split that way before the shuffle. A bucket that can't be split is
-   compared as a whole: no pair is dropped for size.
+   Where a bucket would take more than ``CAP`` squared comparisons it is cut by ``EXTRA``
+   further coordinates, in ``WAYS`` independent ways, so that a pair at 0.8 stays together
+   in one of them with probability 0.99; a bucket above ``SPLIT`` is cut that way before
+   the shuffle. What is left after ``LEVELS`` cuts is compared as a whole.
 3. Pairs of a bucket within Hamming distance ``LOOSE`` become links; a bucket emits a
-   spanning forest of them, not all pairs. Their components are loose families, which
-   hold every pair at ``SIMILAR`` but also less similar texts.
-4. In each family, pairs are taken by rising distance, and those that would join two
-   parts are verified by the shingle samples: exact for texts of up to ``SAMPLE``
-   distinct shingles. Beyond, the estimate's standard error is about 0.012; within
-   ``CLEAR`` of ``SIMILAR`` it decides nothing, and the whole sets are compared. A family
-   of more than ``FAMILY`` members is verified bucket by bucket instead.
+   spanning forest of them, and members that are connected already aren't compared again,
+   so a mass of near-equal texts costs one comparison each. Their components are loose
+   families, which hold every pair at ``SIMILAR`` found but also less similar texts.
+4. All pairs of a family within ``LOOSE`` that would join two parts are verified by the
+   shingle samples: exact for texts of up to ``SAMPLE`` distinct shingles. Beyond, the
+   estimate's standard error is about 0.012; within ``CLEAR`` of ``SIMILAR`` it decides
+   nothing, and the whole sets are compared. Families are dealt into blocks of ``BLOCK``,
+   a task for each two blocks, so that no task holds more than two.
+5. SimHash is coarse for short texts: those of at most ``SHORT`` distinct shingles are also
+   grouped by the smallest of their shingles, as many as one of two sets at ``SIMILAR``
+   can't do without, and verified there within ``LOOSE_SHORT``.
 
 Defined results: a null text counts as empty, and all texts without a word are equal to
 each other only if their characters are; a text of one to four words has its word
@@ -44,14 +48,15 @@ from .textops import grams, mix, slices, word_hashes, words
 
 SHINGLE, SIMILAR = 5, 0.8
 BITS, SAMPLE = 256, 1024
-TABLES, SAMPLED = 32, 12
-CAP, EXTRA, WAYS, SPLIT = 1024, 4, 4, 100_000
-LOOSE, FAMILY = 54, 4096
+TABLES, SAMPLED = 40, 12
+CAP, EXTRA, WAYS, LEVELS, SPLIT = 1024, 8, 20, 4, 500_000
+LOOSE, BLOCK, SHORT, LOOSE_SHORT = 58, 8192, 30, 96
 CLEAR, TASK_PAIRS, PART = 0.06, 128, 2048
 
 _RNG = np.random.default_rng(20240229)
-#: order of the coordinates of each table: the first SAMPLED group, the rest extend
-ORDER = np.stack([_RNG.permutation(BITS) for _ in range(TABLES)])
+#: coordinates of each table, and of each way to cut a bucket further
+SAMPLES = np.stack([_RNG.permutation(BITS)[:SAMPLED] for _ in range(TABLES)])
+CUTS = np.stack([[_RNG.permutation(BITS)[:EXTRA] for _ in range(WAYS)] for _ in range(LEVELS)])
 _SEEDS = [np.uint64(x) for x in _RNG.integers(1, 2**63, BITS // 64)]
 _LANES = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
@@ -108,40 +113,35 @@ def sketches(documents: DataFrame) -> DataFrame:
     return documents.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, text_key binary, sketch binary, sample binary")
 
 
-def codes(bits: np.ndarray, table: int, first: int, count: int) -> np.ndarray:
-    """``count`` sampled coordinates of unpacked sketches as integers."""
-    at = ORDER[table][np.arange(first, first + count) % BITS]
-    return bits[:, at] @ (1 << np.arange(count, dtype=np.int64))
+def codes(bits: np.ndarray, coordinates: np.ndarray) -> np.ndarray:
+    """Some coordinates of unpacked sketches as integers."""
+    return bits[:, coordinates].astype(np.int64) @ (1 << np.arange(len(coordinates), dtype=np.int64))
 
 
 def _unpack(batch: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, BITS // 8)
+    return np.unpackbits(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, BITS // 8), axis=1)
 
 
-def bucketed(reps: DataFrame) -> DataFrame:
-    """(bucket, id, sketch) in all tables; buckets above SPLIT are split before anything gathers them."""
+def bucketed(reps: DataFrame, most: int = SPLIT) -> DataFrame:
+    """(bucket, id, sketch) in all tables; buckets above ``most`` are cut before anything gathers them."""
+    names = ["bucket", "id", "sketch"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.unpackbits(_unpack(batch), axis=1)
+            bits = _unpack(batch)
             for t in range(TABLES):
-                code = codes(bits.astype(np.int64), t, 0, SAMPLED) + (t << 40)
-                yield pa.RecordBatch.from_arrays([pa.array(code), batch.column("id"), batch.column("sketch")], ["bucket", "id", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(codes(bits, SAMPLES[t]) + (t << 40)), batch.column("id"), batch.column("sketch")], names)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        more = int(np.log2(SPLIT)) // 2
         for batch in batches:
-            bits = np.unpackbits(_unpack(batch), axis=1).astype(np.int64)
-            old = batch.column("bucket").to_numpy()
+            bits, old = _unpack(batch), batch.column("bucket").to_numpy()
             for w in range(WAYS):
-                new = np.zeros(len(old), np.int64)
-                for t in np.unique(old >> 40):
-                    rows = (old >> 40) == t
-                    new[rows] = codes(bits[rows], int(t), SAMPLED + w * more, more)
-                yield pa.RecordBatch.from_arrays([pa.array(old + ((new + (w << more) + 1) << SAMPLED)), batch.column("id"), batch.column("sketch")], ["bucket", "id", "sketch"])
+                new = codes(bits, CUTS[0, w]) + (w << EXTRA) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(old + (new << SAMPLED)), batch.column("id"), batch.column("sketch")], names)
 
     schema = "bucket long, id long, sketch binary"
     all_rows = reps.mapInArrow(run, schema)
-    large = written(all_rows.groupBy("bucket").count().where(F.col("count") > SPLIT).select("bucket"), "large")
+    large = written(all_rows.groupBy("bucket").count().where(F.col("count") > most).select("bucket"), "large")
     if large.isEmpty():
         return all_rows
     return all_rows.join(large, "bucket", "left_anti").unionByName(all_rows.join(large, "bucket", "left_semi").mapInArrow(split, schema))
@@ -173,14 +173,14 @@ class Forest:
     """Union-find over positions."""
 
     def __init__(self, n: int) -> None:
-        self.up = list(range(n))
+        self.up = np.arange(n)
 
     def root(self, x: int) -> int:
         up = self.up
         while up[x] != x:
             up[x] = up[up[x]]
             x = up[x]
-        return x
+        return int(x)
 
     def join(self, a: int, b: int) -> bool:
         a, b = self.root(a), self.root(b)
@@ -188,62 +188,117 @@ class Forest:
             self.up[max(a, b)] = min(a, b)
         return a != b
 
+    def roots(self, rows: np.ndarray) -> np.ndarray:
+        r = self.up[rows]
+        while True:
+            further = self.up[r]
+            if (further == r).all():
+                self.up[rows] = r
+                return r
+            r = further
+
+
+def _hamming(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    d = np.bitwise_count(x[..., 0] ^ y[..., 0]).astype(np.uint16)
+    for w in range(1, BITS // 64):
+        d += np.bitwise_count(x[..., w] ^ y[..., w])
+    return d
+
+
+class Linker:
+    """Joins positions whose sketches lie within ``limit`` and that pass ``check``, if there is one.
 
-def near_pairs(key: np.ndarray, sketch: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of positions in equal runs of ``key`` within a Hamming distance, and the distances."""
-    n = len(key)
-    ends = np.searchsorted(key, key, side="right") if n and np.all(key[1:] >= key[:-1]) else None
-    rows, lag = np.arange(n), 1
-    while True:
-        rows = rows[rows + lag < ends[rows]]
-        if not len(rows):
+    ``split`` cuts runs that would take too many comparisons by further coordinates.
+    """
+
+    def __init__(self, sketch: np.ndarray, limit: int, check: Callable[[int, int], bool] | None = None, split: bool = True) -> None:
+        self.sketch, self.limit, self.check, self.split = sketch, limit, check, split
+        self.forest, self.a, self.b = Forest(len(sketch)), [], []
+
+    def _try(self, x: np.ndarray, y: np.ndarray, d: np.ndarray) -> None:
+        """Join pairs by rising distance; after some, those that are connected meanwhile fall out."""
+        order, some = np.argsort(d, kind="stable"), 256
+        x, y = x[order], y[order]
+        while len(x):
+            apart = self.forest.roots(x) != self.forest.roots(y)
+            x, y = x[apart], y[apart]
+            for i, j in zip(x[:some].tolist(), y[:some].tolist()):
+                if self.forest.root(i) != self.forest.root(j) and (self.check is None or self.check(i, j)):
+                    self.forest.join(i, j)
+                    self.a.append(i), self.b.append(j)
+            x, y, some = x[some:], y[some:], 2 * some
+
+    def small(self, rows: np.ndarray, key: np.ndarray) -> None:
+        """All pairs in runs of an ascending key, by their lag."""
+        ends, at, lag = np.searchsorted(key, key, side="right"), np.arange(len(key)), 1
+        while len(at):
+            at = at[at + lag < ends[at]]
+            for part in np.array_split(at, len(at) // 200_000 + 1):
+                x, y = rows[part], rows[part + lag]
+                d = _hamming(self.sketch[x], self.sketch[y])
+                near = d <= self.limit
+                if near.any():
+                    self._try(x[near], y[near], d[near])
+            lag += 1
+
+    def _against(self, some: np.ndarray, others: np.ndarray, above: bool = False) -> None:
+        """Pairs of some and others; ``above``: others begin with some, each pair once."""
+        step = max(1, 1_000_000 // max(1, len(others)))
+        for s in range(0, len(some), step):
+            x, y = some[s : s + step], others[s + 1 :] if above else others
+            d = _hamming(self.sketch[x][:, None], self.sketch[y][None])
+            near = (d <= self.limit) & (self.forest.roots(x)[:, None] != self.forest.roots(y)[None])
+            if above:
+                near &= np.arange(len(y))[None] >= np.arange(len(x))[:, None]
+            i, j = np.nonzero(near)
+            if len(i):
+                self._try(x[i], y[j], d[i, j])
+
+    def _loose(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows outside the largest part of a run, and that part's."""
+        roots = self.forest.roots(rows)
+        values, counts = np.unique(roots, return_counts=True)
+        main = roots == values[counts.argmax()]
+        return rows[~main], rows[main]
+
+    def run(self, rows: np.ndarray, level: int = 1) -> None:
+        """All pairs of one run, or of the smaller ones that it is cut into."""
+        self._against(rows[:: max(1, len(rows) // 8)][:8], rows)  # joins a mass of near-equal members at once
+        loose, main = self._loose(rows)
+        if not len(loose):
             return
-        for part in np.array_split(rows, len(rows) // 200_000 + 1):
-            d = np.bitwise_count(sketch[part] ^ sketch[part + lag]).sum(axis=1)
-            ok = d <= most
-            if ok.any():
-                yield part[ok], part[ok] + lag, d[ok]
-        lag += 1
-
-
-def sub_buckets(key: np.ndarray, sketch: np.ndarray, level: int = 0) -> Iterator[np.ndarray]:
-    """Rows in runs to compare, as positions with a run key: (positions, keys)."""
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    size = np.diff(np.r_[starts, len(key)])
-    big = np.repeat(size > CAP, size)
-    if level >= 8 or not big.any():
-        yield np.arange(len(key)), key
-        return
-    small = np.flatnonzero(~big)
-    if len(small):
-        yield small, key[small]
-    rows = np.flatnonzero(big)
-    bits = np.unpackbits(sketch[rows].view(np.uint8), axis=1).astype(np.int64)
-    for w in range(WAYS if level < 2 else 1):
-        new = np.zeros(len(rows), np.int64)
-        for t in np.unique(key[rows] >> 40):
-            mine = (key[rows] >> 40) == t
-            new[mine] = codes(bits[mine], int(t) % TABLES, 64 + (level * WAYS + w) * EXTRA, EXTRA)
-        order = np.lexsort((new, key[rows]))
-        both = np.cumsum(np.r_[True, (np.diff(key[rows][order]) != 0) | (np.diff(new[order]) != 0)])
-        table = key[rows][order] >> 40 << 40  # keeps the table's number for the next level
-        for at, k in sub_buckets(table + both, sketch[rows[order]], level + 1):
-            yield rows[order][at], k
+        if not self.split or level >= LEVELS or len(loose) * len(rows) <= CAP * CAP:
+            self._against(loose, np.concatenate([loose, main]), above=True)
+            return
+        bits = np.unpackbits(self.sketch[rows].view(np.uint8), axis=1)
+        for w in range(WAYS):
+            code = np.packbits(bits[:, CUTS[level, w]], axis=1)[:, 0]
+            order = np.argsort(code, kind="stable")
+            for part in np.split(rows[order], np.flatnonzero(np.diff(code[order])) + 1):
+                if len(part) > 1:
+                    self.run(part, level + 1)
+
+    def runs(self, key: np.ndarray, few: int = 48) -> None:
+        """All runs of an ascending key."""
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[starts, len(key)])
+        small = np.flatnonzero(np.repeat(size <= few, size))
+        self.small(small, key[small])
+        for s, n in zip(starts[size > few].tolist(), size[size > few].tolist()):
+            self.run(np.arange(s, s + n))
+
+
+def _sketches(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
 def loose_links(buckets: DataFrame) -> DataFrame:
     """A spanning forest of the pairs within LOOSE of each bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, "bucket"):
-            key, ids = t["bucket"].to_numpy(), t["id"].to_numpy()
-            sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
-            forest, a, b = Forest(len(key)), [], []
-            for at, k in sub_buckets(key, sketch):
-                for x, y, _ in near_pairs(k, sketch[at], LOOSE):
-                    for i, j in zip(at[x].tolist(), at[y].tolist()):
-                        if forest.join(i, j):
-                            a.append(i), b.append(j)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a] if a else ids[:0]), pa.array(ids[b] if b else ids[:0])], ["a", "b"])
+            ids, link = t["id"].to_numpy(), Linker(_sketches(t), LOOSE)
+            link.runs(t["bucket"].to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[np.array(x, np.int64)]) for x in (link.a, link.b)], ["a", "b"])
 
     return buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
 
@@ -257,39 +312,58 @@ def similarity(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> float:
     return np.count_nonzero(both <= union[-1]) / len(union)
 
 
-def verified_links(members: DataFrame) -> DataFrame:
-    """(family, a, b, sure) of rows (family, id, sketch, sample): a spanning forest of each family's links at
-    SIMILAR or more that are sure, and all pairs between its trees that the samples leave open."""
+def dealt(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Members (family, id, ...) with ``task``: each two blocks of a family meet in one."""
+    n = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    m = members.join(n, "family").withColumn("mine", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pair = F.xxhash64("family", F.least("mine", "other"), F.greatest("mine", "other"))
+    return m.select("*", other).select(*members.columns, F.when(F.col("blocks") > 1, pair).otherwise(F.xxhash64("family")).alias("task"))
+
+
+def verified_links(members: DataFrame, limit: int = LOOSE, block: int = BLOCK) -> DataFrame:
+    """(family, a, b, sure) of rows (family, id, sketch, sample): a spanning forest of each task's links at
+    SIMILAR or more that are sure, and the pairs between its trees that the samples leave open."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in groups(batches, "family"):
-            key, ids = t["family"].to_numpy(), t["id"].to_numpy()
-            sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
-            raw = [np.frombuffer(x, "<u4") for x in t["sample"].to_pylist()]
-            forest, a, b, unsure = Forest(len(key)), [], [], []
-            starts = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
-            for s, e in zip(starts[:-1], starts[1:]):  # one family's pairs at a time
-                found = list(near_pairs(key[s:e], sketch[s:e], LOOSE))
-                if not found:
-                    continue
-                x, y, d = (np.concatenate(c) for c in zip(*found))
-                for k in np.argsort(d, kind="stable").tolist():
-                    i, j = int(x[k] + s), int(y[k] + s)
-                    if forest.root(i) == forest.root(j):
-                        continue
-                    ni, nj = int(raw[i][-1]), int(raw[j][-1])
-                    if min(ni, nj) < SIMILAR * max(ni, nj):
-                        continue
-                    near = similarity(raw[i][:-1], raw[j][:-1], ni, nj) if ni else 0
-                    if max(ni, nj) > SAMPLE and abs(near - SIMILAR) <= CLEAR:
-                        unsure.append((i, j))
-                    elif near >= SIMILAR:
-                        forest.join(i, j)
-                        a.append(i), b.append(j)
-            n, unsure = len(a), [x for x in unsure if forest.root(x[0]) != forest.root(x[1])]
-            a, b = (np.array([*own, *(x[k] for x in unsure)], np.int64) for k, own in enumerate((a, b)))
-            yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(ids[a]), pa.array(ids[b]), pa.array(np.arange(len(a)) < n)], ["family", "a", "b", "sure"])
-
-    return members.select("family", "id", "sketch", "sample").repartition("family").sortWithinPartitions("family").mapInArrow(run, "family long, a long, b long, sure boolean")
+        for t in groups(batches, "task"):
+            key, family, ids = t["task"].to_numpy(), t["family"].to_numpy(), t["id"].to_numpy()
+            raw, open_pairs = [np.frombuffer(x, "<u4") for x in t["sample"].to_pylist()], []
+
+            def check(i: int, j: int) -> bool:
+                ni, nj = int(raw[i][-1]), int(raw[j][-1])
+                if family[i] != family[j] or not ni or min(ni, nj) < SIMILAR * max(ni, nj):
+                    return False
+                near = similarity(raw[i][:-1], raw[j][:-1], ni, nj)
+                if max(ni, nj) > SAMPLE and abs(near - SIMILAR) <= CLEAR:
+                    open_pairs.append((i, j))
+                    return False
+                return near >= SIMILAR
+
+            link = Linker(_sketches(t), limit, check, split=False)
+            link.runs(key)
+            n, rest = len(link.a), [x for x in open_pairs if link.forest.root(x[0]) != link.forest.root(x[1])]
+            a, b = (np.array([*own, *(x[k] for x in rest)], np.int64) for k, own in enumerate((link.a, link.b)))
+            yield pa.RecordBatch.from_arrays([pa.array(family[a]), pa.array(ids[a]), pa.array(ids[b]), pa.array(np.arange(len(a)) < n)], ["family", "a", "b", "sure"])
+
+    rows = dealt(members.select("family", "id", "sketch", "sample"), block)
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "family long, a long, b long, sure boolean")
+
+
+def short_groups(owners: DataFrame) -> DataFrame:
+    """(family, id, sketch, sample) of short texts, by each shingle of their prefixes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, keys = [], []
+            for k, x in enumerate(batch.column("sample").to_pylist()):
+                s = np.frombuffer(x, "<u4")
+                if 0 < s[-1] <= SHORT:
+                    first = s[: int(s[-1]) - int(np.ceil(SIMILAR * int(s[-1]) - 1e-9)) + 1]
+                    at += [k] * len(first)
+                    keys.append(first.astype(np.int64))
+            rows = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)), *[rows.column(c) for c in ("id", "sketch", "sample")]], ["family", "id", "sketch", "sample"])
+
+    return owners.select("id", "sketch", "sample").mapInArrow(run, "family long, id long, sketch binary, sample binary")
 
 
 def exact_links(pairs: DataFrame, documents: DataFrame, members: DataFrame) -> DataFrame:
@@ -343,21 +417,15 @@ def classes(documents: DataFrame) -> DataFrame:
     by_sketch = by_text.groupBy("sketch").agg(F.min("id").alias("lead"))
     same = written(by_text.join(by_sketch, "sketch").select("id", "lead"), "same")
     reps = written(by_sketch.select(F.col("lead").alias("id"), "sketch"), "reps")
-    buckets = bucketed(reps)
-    links = written(loose_links(buckets).distinct(), "loose")
+    links = written(loose_links(bucketed(reps)).distinct(), "loose")
     family = components(links.unionByName(same.where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b"))))
-    # samples of families' representatives only; rows of one text have equal samples
-    one = docs.join(by_text.select("text_key", "id"), "text_key").where("doc_id = id").join(family.withColumnRenamed("node", "id"), "id").dropDuplicates(["id"])
-    members = written(one.select(F.col("component").alias("family"), "id", "text_key", "sketch", "sample"), "members")
-    large = written(members.groupBy("family").count().where(F.col("count") > FAMILY).select("family"), "large")
-    if not large.isEmpty():
-        inside = members.join(large, "family", "left_semi")
-        spread = bucketed(inside.select("id", "sketch")).select("bucket", "id")
-        big = spread.join(inside.select("id", "sketch", "sample"), "id").withColumnRenamed("bucket", "family")
-        sure = verified_links(members.join(large, "family", "left_anti")).unionByName(verified_links(big))
-    else:
-        sure = verified_links(members)
-    checked = written(sure, "checked")
+    # one row of each text: by both keys, as one text may have a third of all rows
+    one = by_text.select("text_key", F.col("id").alias("doc_id"))
+    own = lambda rows: rows.join(one, ["text_key", "doc_id"]).dropDuplicates(["text_key", "doc_id"]).withColumnRenamed("doc_id", "id")
+    named = docs.join(family.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "doc_id")
+    members = written(own(named).select("family", "id", "text_key", "sketch", "sample"), "members")
+    short = short_groups(own(docs.where(F.octet_length("sample") <= 4 * (SHORT + 1))))
+    checked = written(verified_links(members).unionByName(verified_links(short, LOOSE_SHORT)), "checked")
     sure, unsure = checked.where("sure").select("a", "b"), checked.where("not sure").select("family", "a", "b")
     if not unsure.isEmpty():
         sure = sure.unionByName(exact_links(unsure, documents, members))

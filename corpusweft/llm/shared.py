@@ -25,8 +25,25 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def job_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one; it goes when the application ends."""
+    path = f"{shared_dir(spark)}/corpusweft-{spark.sparkContext.applicationId}"
+    fs, p = _fs(spark, path)
+    if fs.mkdirs(p):
+        fs.deleteOnExit(p)
+    return path
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{job_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """A column name that no given column has, case aside."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -74,22 +91,13 @@ def create_once(spark: SparkSession, path: str, content: str) -> bool:
     return True
 
 
-def read_small(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
 def listing(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that nothing refers to any more."""
+    """Let Spark's cleaner remove the shuffle files of finished plans, which it does once their objects are collected."""
     import gc
 
     gc.collect()

@@ -18,7 +18,8 @@ each distinct word of a slice once.
 
 Defined results: a null text encodes as an empty one, to no pieces; a text that holds the
 space mark U+2581 itself decodes with spaces in its place; repeated rows give repeated
-results; an empty table gives an empty result; ``encode`` keeps the columns it is asked to.
+results; an empty table gives an empty result; ``encode`` keeps the columns it is asked to,
+whatever their names, but for doc_id and ids, which are its own.
 """
 
 from __future__ import annotations
@@ -32,13 +33,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .shared import written
+from .shared import free_name, written
 from .textops import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-GIANT, CHUNK, FAN = 65_536, 32_768, 64
+GIANT, CHUNK, FAN = 16_384, 8_192, 64
 HOT_UNITS = 200_000
 MARK = "▁"
 BAD = -np.inf
@@ -355,37 +356,42 @@ def encode(documents: DataFrame, model: str = MODEL, giant: int = GIANT, chunk:
 
     Only giants move: the others are encoded where they are read.
     """
-    keep = tuple(dict.fromkeys(keep))
-    d = documents.select("doc_id", *keep, F.coalesce("text", F.lit("")).alias("text"))
+    keep = tuple(c for c in dict.fromkeys(keep) if c not in ("doc_id", "ids"))
+    kept = ["doc_id", *keep]
+    text, h, key = (free_name([*documents.columns, "doc_id", "ids"], c) for c in ("_text", "_h", "_key"))
+    d = documents.select(*[F.col(f"`{c}`") for c in kept], F.coalesce("text", F.lit("")).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model)
         for batch in batches:
-            for part in slices(batch):
-                ids, off = m.encode([m.normal(t) for t in part.column("text").to_pylist()])
+            for part in slices(batch, text):
+                ids, off = m.encode([m.normal(t) for t in part.column(text).to_pylist()])
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("doc_id", *keep)], lists], ["doc_id", *keep, "ids"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], lists], [*kept, "ids"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema if f.name in keep)
-    short = d.where(F.length("text") <= giant).mapInArrow(run, "doc_id long, " + (kept + ", " if kept else "") + "ids array<int>")
-    long = d.where(F.length("text") > giant).withColumns({"h": F.xxhash64("text"), "key": F.coalesce("doc_id", F.lit(-1))})
-    pieces = encode_giants(long.select(F.col("key").alias("doc_id"), "h", "text").dropDuplicates(["doc_id", "h"]), model, chunk, fan)
+    schema = T.StructType([*[f for f in d.schema if f.name in keep or f.name == "doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    short = d.where(F.length(text) <= giant).mapInArrow(run, schema)
+    long = d.where(F.length(text) > giant).withColumns({h: F.xxhash64(text), key: F.coalesce("doc_id", F.lit(-1))})
+    pieces = encode_giants(long.select(F.col(key).alias("doc_id"), F.col(h).alias("h"), F.col(text).alias("text")).dropDuplicates(["doc_id", "h"]), model, chunk, fan)
     # a giant's pieces make one row, as its text does
-    whole = pieces.groupBy(F.col("doc_id").alias("key"), "h").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return short.unionByName(long.drop("text").join(whole, ["key", "h"]).select("doc_id", *keep, "ids"))
+    whole = pieces.groupBy(F.col("doc_id").alias(key), F.col("h").alias(h)).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "ids"))), lambda x: x["ids"])).alias("ids"))
+    return short.unionByName(long.drop(text).join(whole, [key, h]).select(*[F.col(f"`{c}`") for c in kept], "ids"))
+
 
+def decode(encoded: DataFrame, model: str = MODEL, keep: tuple[str, ...] = (), text: str = "text") -> DataFrame:
+    """doc_id, the columns ``keep``, which may be ids too, and ``text`` of rows with ``ids``; bytes that are not UTF-8 become U+FFFD."""
+    kept = ["doc_id", *[c for c in dict.fromkeys(keep) if c not in ("doc_id", text)]]
+    columns = list(dict.fromkeys([*kept, "ids"]))
 
-def decode(encoded: DataFrame, model: str = MODEL, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep`` and text of rows with ``ids``; bytes that are not UTF-8 become U+FFFD."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model)
         for batch in batches:
             ids = batch.column("ids")
             texts = [m.decode(ids[i].values.to_numpy()).decode("utf-8", "replace")[len(m.prefix) :] if len(ids[i] or ()) else "" for i in range(len(ids))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", *keep)], pa.array(texts)], ["doc_id", *keep, "text"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(texts, pa.string())], [*kept, text])
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in encoded.schema if f.name in keep)
-    return encoded.select("doc_id", *keep, "ids").mapInArrow(run, f"doc_id long, {kept}text string")
+    schema = T.StructType([*[encoded.schema[c] for c in kept], T.StructField(text, T.StringType())])
+    return encoded.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
 def digest(encoded: DataFrame, model: str = MODEL) -> DataFrame:

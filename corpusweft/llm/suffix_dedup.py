@@ -14,17 +14,21 @@ with a smaller doc_id. Suffixes are sorted by blocks, one suffix bucket at a tim
    that share is ever on disk. Anchors whose whole surroundings agree are settled by
    the smallest doc_id, already before the shuffle, so a passage copied into a third of
    all documents sends one row for each flush of a task, not one for each document.
-3. In a bucket, the suffixes of the remaining surroundings are sorted: the first
-   bytes up to the next place of the difference cover {0, 1, 3} mod 7, then the
-   precomputed rank of the cover sample there. Neighbours with a common prefix of
-   ``LENGTH`` bytes form runs; a run's smallest doc_id decides. Common prefixes are
-   compared byte by byte, so hash collisions can't remove anything.
+3. Buckets come to a task one after the other, sorted by Spark. In a bucket, the suffixes
+   of the remaining surroundings are sorted: the first bytes up to the next place of the
+   difference cover {0, 1, 3} mod 7, then the precomputed rank of the cover sample there.
+   Neighbours with a common prefix of ``LENGTH`` bytes form runs; a run's smallest doc_id
+   decides. Common prefixes are compared byte by byte, so hash collisions can't remove
+   anything.
+4. A bucket that outgrows ``HELD_BYTES`` hands on the records of its most frequent anchors,
+   which have very many different surroundings. Each of their ``LENGTH``-byte strings is
+   then grouped by a 128-bit hash in Spark, with partial aggregation.
 
 Defined results: a null text counts as empty; texts under ``LENGTH`` bytes keep all bytes;
-repeated rows and rows that share a doc_id never remove each other, and such rows share
-their spans; rows with a null doc_id are kept whole and remove nothing; an empty table
-gives an empty result; in ``deduplicated``, bytes that a cut leaves as broken UTF-8 are
-dropped from the text.
+repeated rows and rows that share a doc_id never remove each other, and each text of a
+doc_id has its own spans; rows with a null doc_id are kept whole and remove nothing; an
+empty table gives an empty result; in ``deduplicated``, bytes that a cut leaves as broken
+UTF-8 are dropped from the text.
 """
 
 from __future__ import annotations
@@ -34,21 +38,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .shared import free_shuffles, new_path, written
+from .shared import free_name, free_shuffles, new_path
 from .textops import mix, raw, slices
 
 LENGTH, K = 50, 16
 PASSES = 4
 FLUSH_BYTES = 8 << 20
-PARTITION_BYTES = 20 << 20
+BUCKET_BYTES, MOST_PARTITIONS = 20 << 20, 50_000  # beyond, a partition holds several buckets, one at a time
+HELD_BYTES = 64 << 20
 BLOCK_BYTES = 1 << 17  # of text at a time: its arrays stay in a core's cache
 COVER, STEP = (0, 1, 3), 7
 SIDE = LENGTH - K  # bytes on either side of an anchor that its strings reach
 AROUND = 2 * SIDE + K
-RECORD = np.dtype([("h", "<u8"), ("doc", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1"), ("text", "u1", AROUND)])
-SPAN = np.dtype([("doc", "<i8"), ("start", "<u4"), ("end", "<u4")])
+#: row: a hash of the whole text, which tells the texts of a doc_id apart
+WIRE = np.dtype([("doc", "<i8"), ("row", "<i8"), ("pos", "<u4"), ("left", "u1"), ("right", "u1"), ("text", "u1", AROUND)])
+RECORD = np.dtype([("h", "<u8"), *WIRE.descr])
+SPAN = np.dtype([("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("end", "<u4")])
 
 
 def _slide(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
@@ -60,6 +67,27 @@ def _slide(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
     return x if size == width else op(x[: len(x) - (width - size)], x[width - size :])
 
 
+def _gram_hash(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return mix(low * np.uint64(0x9E3779B97F4A7C15) ^ (high + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+
+
+def to_wire(r: np.ndarray) -> np.ndarray:
+    """Records without their anchors' hashes, which their bytes give again."""
+    out = np.empty(len(r), WIRE)
+    for n in WIRE.names:
+        out[n] = r[n]
+    return out
+
+
+def from_wire(w: np.ndarray) -> np.ndarray:
+    out = np.empty(len(w), RECORD)
+    for n in WIRE.names:
+        out[n] = w[n]
+    gram = np.ascontiguousarray(w["text"][:, SIDE : SIDE + K]).view("<u8")
+    out["h"] = _gram_hash(gram[:, 0], gram[:, 1]) if len(w) else 0
+    return out
+
+
 def anchors(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of all anchors of texts laid end to end."""
     n = len(b)
@@ -68,7 +96,7 @@ def anchors(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([b, np.zeros(16, np.uint8)])
     low = np.ndarray((n,), "<u8", padded.data, 0, (1,))
     high = np.ndarray((n,), "<u8", padded.data, 8, (1,))
-    h = mix(low * np.uint64(0x9E3779B97F4A7C15) ^ (high + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+    h = _gram_hash(low, high)
     least = _slide(h[: n - K + 1], SIDE + 1, np.minimum)  # of each string of LENGTH bytes
     for end in off[1:-1]:  # none crosses the end of a text
         least[max(0, end - LENGTH + 1) : end] = 0
@@ -78,7 +106,7 @@ def anchors(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
-def records(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes: int) -> np.ndarray:
+def records(docs: np.ndarray, keys: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes: int) -> np.ndarray:
     at, h = anchors(b, off)
     mine = (h >> np.uint64(8)) % np.uint64(passes) == np.uint64(step)
     at, h = at[mine], h[mine]
@@ -87,7 +115,7 @@ def records(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes:
     if not len(at):
         return out
     start, end = off[owner], off[owner + 1]
-    out["h"], out["doc"], out["pos"] = h, docs[owner], at - start
+    out["h"], out["doc"], out["row"], out["pos"] = h, docs[owner], keys[owner], at - start
     out["left"], out["right"] = np.minimum(SIDE, at - start), np.minimum(SIDE, end - at - K)
     padded = np.concatenate([np.zeros(SIDE, np.uint8), b, np.zeros(SIDE, np.uint8)])
     text = np.lib.stride_tricks.sliding_window_view(padded, AROUND)[at]
@@ -99,39 +127,38 @@ def records(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes:
     return out
 
 
-def _pieces(docs: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes: int, most: int = BLOCK_BYTES * 4) -> Iterator[np.ndarray]:
+def _pieces(docs: np.ndarray, keys: np.ndarray, b: np.ndarray, off: np.ndarray, step: int, passes: int, most: int = BLOCK_BYTES * 4) -> Iterator[np.ndarray]:
     """Records of one slice; a single very long text goes in pieces that overlap by LENGTH - 1 bytes."""
     if len(docs) > 1 or len(b) <= most:
-        yield records(docs, b, off, step, passes)
+        yield records(docs, keys, b, off, step, passes)
         return
     margin = 2 * LENGTH
     for a in range(0, len(b), most):
         low, high = max(0, a - margin), min(len(b), a + most + margin)
-        r = records(docs, b[low:high], np.array([0, high - low]), step, passes)
+        r = records(docs, keys, b[low:high], np.array([0, high - low]), step, passes)
         place = r["pos"].astype(np.int64) + low
         r = r[(place >= a) & (place < a + most)]
         r["pos"] += np.uint32(low)
         yield r
 
 
-def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _spans(doc: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     out = np.zeros(len(doc), SPAN)
-    out["doc"], out["start"], out["end"] = doc, start, end
+    out["doc"], out["row"], out["start"], out["end"] = doc, row, start, end
     return out
 
 
 def _merge(s: np.ndarray) -> np.ndarray:
-    """Union of overlapping or touching spans of each document."""
+    """Union of overlapping or touching spans of each text."""
     if not len(s):
         return s
-    s = s[np.lexsort((s["start"], s["doc"]))]
-    # running end within a document: documents are told apart by an offset in the key
-    _, group = np.unique(s["doc"], return_inverse=True)
-    base = group.astype(np.int64) << 33
+    s = s[np.lexsort((s["start"], s["row"], s["doc"]))]
+    # running end within a text: texts are told apart by an offset in the key
+    base = np.cumsum(np.r_[False, (s["doc"][1:] != s["doc"][:-1]) | (s["row"][1:] != s["row"][:-1])]).astype(np.int64) << 33
     reach = np.maximum.accumulate(base + s["end"])
     fresh = np.r_[True, base[1:] + s["start"][1:] > reach[:-1]]
     at = np.flatnonzero(fresh)
-    return _spans(s["doc"][at], s["start"][at], np.maximum.reduceat(base + s["end"], at) - base[at])
+    return _spans(s["doc"][at], s["row"][at], s["start"][at], np.maximum.reduceat(base + s["end"], at) - base[at])
 
 
 def settle(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +188,7 @@ def settle(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     stays[rows[later]] = False
     gone = t[later]
     pos = gone["pos"].astype(np.int64)
-    return r[stays], _spans(gone["doc"], pos - gone["left"], pos + K + gone["right"])
+    return r[stays], _spans(gone["doc"], gone["row"], pos - gone["left"], pos + K + gone["right"])
 
 
 def _shared(r: np.ndarray) -> np.ndarray:
@@ -221,7 +248,7 @@ def sorted_bucket(r: np.ndarray) -> np.ndarray:
     hit = np.flatnonzero(high >= 0)
     if len(hit):
         pos = r["pos"][hit].astype(np.int64)
-        found = _spans(r["doc"][hit], pos - SIDE + low[hit], pos - SIDE + high[hit] + LENGTH)
+        found = _spans(r["doc"][hit], r["row"][hit], pos - SIDE + low[hit], pos - SIDE + high[hit] + LENGTH)
     return found
 
 
@@ -246,18 +273,41 @@ def _size(df: DataFrame) -> int:
 
 
 def _partition_keys(spark: SparkSession, parts: int) -> np.ndarray:
-    """A key for each of ``parts`` partitions that repartition sends there, so that none gets two buckets."""
+    """A key for each of ``parts`` partitions (MOST_PARTITIONS, or a core's each) that repartition sends there."""
     to = spark.range(parts * 24).groupBy(F.pmod(F.hash("id"), F.lit(parts)).alias("p")).agg(F.min("id").alias("key")).toPandas()
     keys = np.arange(parts, dtype=np.int64)
     keys[to["p"].to_numpy()] = to["key"].to_numpy()
     return keys
 
 
-def spans_of(documents: DataFrame, passes: int = PASSES) -> DataFrame:
-    """(doc_id, start, end): spans to remove, which may overlap, in the shared folder."""
+def strings_of(r: np.ndarray) -> Iterator[np.ndarray]:
+    """(hash, hash, doc, row, start) of all LENGTH-byte strings that cover the records' anchors."""
+    for o in range(SIDE + 1):
+        here = r[(r["left"] >= SIDE - o) & (r["right"] >= o)]
+        x = np.zeros((len(here), 56), np.uint8)
+        x[:, :LENGTH] = here["text"][:, o : o + LENGTH]
+        words, one, two = x.view("<u8"), np.full(len(here), 11, np.uint64), np.full(len(here), 13, np.uint64)
+        for j in range(words.shape[1]):
+            one, two = mix(one ^ words[:, j]), mix((two + words[:, j]) * np.uint64(0xD6E8FEB86659FD93))
+        yield np.stack([one.view(np.int64), two.view(np.int64), here["doc"], here["row"], here["pos"].astype(np.int64) - SIDE + o], axis=1)
+
+
+def parted(held: np.ndarray, hot: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(at most ``most`` records to keep, those of the most frequent anchors, the hot anchors from now on) of an outgrown bucket."""
+    values, counts = np.unique(held["h"], return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    left = len(held) - np.cumsum(counts[order])
+    hot = np.union1d(hot, values[order[: int(np.count_nonzero(left > most)) + 1]])
+    goes = np.isin(held["h"], hot)
+    return held[~goes], held[goes], hot
+
+
+def spans_of(documents: DataFrame, passes: int = PASSES, held_bytes: int = HELD_BYTES, bucket_bytes: int = BUCKET_BYTES, most_partitions: int = MOST_PARTITIONS) -> DataFrame:
+    """(doc_id, row, start, end): spans to remove, which may overlap, in the shared folder."""
     spark = documents.sparkSession
-    d = documents.where("doc_id is not null").select("doc_id", "text")
-    parts = max(spark.sparkContext.defaultParallelism, min(200_000, int(_size(documents) * RECORD.itemsize / 18 / passes / PARTITION_BYTES) + 1))
+    d = documents.where("doc_id is not null").select("doc_id", "text", text_row().alias("row"))
+    buckets = max(spark.sparkContext.defaultParallelism, int(_size(documents) * WIRE.itemsize / 18 / passes / bucket_bytes) + 1)
+    parts = min(buckets, most_partitions)
     path = new_path(spark, "spans")
     to = _partition_keys(spark, parts)
     for step in range(passes):
@@ -269,23 +319,22 @@ def spans_of(documents: DataFrame, passes: int = PASSES) -> DataFrame:
             def flush() -> Iterator[pa.RecordBatch]:
                 r, spans = settle(np.concatenate(held))
                 spans = _merge(spans)
-                bucket = (r["h"] >> np.uint64(20)) % np.uint64(parts)
+                bucket = (r["h"] >> np.uint64(20)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
-                r, bucket = r[order], bucket[order]
-                first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(r) else []
-                ends = [*first[1:], len(r)] if len(r) else []
-                keys = [int(to[bucket[a]]) for a in first]
-                data = [r[a:b].tobytes() for a, b in zip(first, ends)]
-                kinds = [0] * len(data)
+                r, bucket = to_wire(r[order]), bucket[order].astype(np.int64)
+                first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(r) else np.zeros(0, np.int64)
+                data = [r[a:b].tobytes() for a, b in zip(first, [*first[1:], len(r)])]
+                ids, kinds = bucket[first].tolist(), [0] * len(data)
                 if len(spans):
-                    keys.append(int(to[spans["doc"][0] % parts])), data.append(spans.tobytes()), kinds.append(1)
+                    ids.append(int(spans["doc"][0] % buckets)), data.append(spans.tobytes()), kinds.append(1)
                 for a in range(0, len(data), 64):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 64], pa.int64()), pa.array(kinds[a : a + 64], pa.int32()), pa.array(data[a : a + 64], pa.binary())], ["bucket", "kind", "data"])
+                    mine = ids[a : a + 64]
+                    yield pa.RecordBatch.from_arrays([pa.array([int(to[i % parts]) for i in mine], pa.int64()), pa.array(mine, pa.int64()), pa.array(kinds[a : a + 64], pa.int32()), pa.array(data[a : a + 64], pa.binary())], ["part", "bucket", "kind", "data"])
 
             for batch in batches:
                 for part in slices(batch, most=BLOCK_BYTES):
                     b, off = raw(part.column("text"))
-                    for r in _pieces(part.column("doc_id").to_numpy(), b, off, step, passes):
+                    for r in _pieces(part.column("doc_id").to_numpy(), part.column("row").to_numpy(), b, off, step, passes):
                         held.append(r)
                     text += len(b)
                     if text >= FLUSH_BYTES:
@@ -294,28 +343,70 @@ def spans_of(documents: DataFrame, passes: int = PASSES) -> DataFrame:
             if held:
                 yield from flush()
 
+        names = ["kind", "one", "two", "doc_id", "row", "start", "end"]
+
+        def out(kind: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(columns[0]), 100_000):
+                c = [pa.array(np.ascontiguousarray(x[a : a + 100_000]).astype(np.int64)) for x in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c[0]), kind, np.int32)), *c], names)
+
         def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, spans = [], []
+            """Buckets in turn; what belongs to one comes together."""
+            now, held, size, hot, spans = None, [], 0, np.zeros(0, np.uint64), []
+
+            def done() -> Iterator[pa.RecordBatch]:
+                if held:
+                    spans.append(bucket_spans(np.concatenate(held)))
+                s = _merge(np.concatenate(spans)) if spans else np.zeros(0, SPAN)
+                zero = np.zeros(len(s), np.int64)
+                yield from out(1, [zero, zero, s["doc"], s["row"], s["start"], s["end"]])
+
             for batch in batches:
-                for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data")):
-                    (spans if kind else held).append(np.frombuffer(data.as_buffer(), SPAN if kind else RECORD))
-            if held:
-                spans.append(bucket_spans(np.concatenate(held)))
-            for s in [_merge(np.concatenate(spans))] if spans else []:
-                for a in range(0, len(s), 100_000):
-                    c = s[a : a + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c["doc"])), pa.array(c["start"].astype(np.int64)), pa.array(c["end"].astype(np.int64))], ["doc_id", "start", "end"])
-
-        sent = d.mapInArrow(send, "bucket long, kind int, data binary").repartition(parts, "bucket")
-        sent.mapInArrow(sort, "doc_id long, start long, end long").write.mode("append").parquet(path)
+                for bucket, kind, data in zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist(), batch.column("data")):
+                    if bucket != now:
+                        yield from done()
+                        now, held, size, hot, spans = bucket, [], 0, hot[:0], []
+                    if kind:
+                        spans.append(np.frombuffer(data.as_buffer(), SPAN))
+                        continue
+                    r, goes = from_wire(np.frombuffer(data.as_buffer(), WIRE)), []
+                    if len(hot):
+                        apart = np.isin(r["h"], hot)
+                        r, goes = r[~apart], [r[apart]]
+                    held.append(r)
+                    size += r.nbytes
+                    if size > held_bytes:
+                        rest, gone = settle(np.concatenate(held))
+                        spans.append(gone)
+                        if rest.nbytes > held_bytes // 2:
+                            rest, more, hot = parted(rest, hot, held_bytes // 2 // RECORD.itemsize)
+                            goes.append(more)
+                        held, size = [rest], rest.nbytes
+                    for g in goes:
+                        for strings in strings_of(g):
+                            yield from out(0, [*strings.T, strings[:, 4] + LENGTH])
+            yield from done()
+
+        sent = d.mapInArrow(send, "part long, bucket long, kind int, data binary").repartition(parts, "part").sortWithinPartitions("part", "bucket")
+        sent.mapInArrow(sort, "kind int, one long, two long, doc_id long, row long, start long, end long").write.mode("append").partitionBy("kind").parquet(path)
         del sent
         free_shuffles(spark)
-    return spark.read.schema("doc_id long, start long, end long").parquet(path)
+    every = spark.read.schema("one long, two long, doc_id long, row long, start long, end long, kind int").parquet(path)
+    spans, strings = every.where("kind = 1"), every.where("kind = 0")
+    if not strings.isEmpty():
+        least = strings.groupBy("one", "two").agg(F.min("doc_id").alias("least"))
+        spans = spans.unionByName(strings.join(least, ["one", "two"]).where("doc_id > least").select(*spans.columns))
+    return spans.select("doc_id", "row", "start", "end")
+
+
+def text_row() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _keep(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int, int]:
     """(kept bytes, bytes removed, runs removed) for spans in any order."""
-    s = _merge(_spans(np.zeros(len(starts), np.int64), starts, np.minimum(ends, len(text))))
+    zero = np.zeros(len(starts), np.int64)
+    s = _merge(_spans(zero, zero, starts, np.minimum(ends, len(text))))
     s = s[s["start"] < s["end"]]
     kept, at = [], 0
     for a, b in zip(s["start"].tolist(), s["end"].tolist()):
@@ -325,40 +416,48 @@ def _keep(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int
     return b"".join(kept), int((s["end"].astype(np.int64) - s["start"]).sum()), len(s)
 
 
-def _joined(documents: DataFrame, passes: int) -> DataFrame:
-    spans = spans_of(documents, passes).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))  # no more than the document's anchors
-    return documents.join(spans, "doc_id", "left")
+def _joined(documents: DataFrame, **options) -> tuple[DataFrame, str]:
+    """The documents with a column of spans, and its name: one that no column of theirs has."""
+    row, spans = free_name(documents.columns, "_row"), free_name(documents.columns, "_spans")
+    found = spans_of(documents, **options).groupBy(F.col("doc_id").alias("_id"), "row").agg(F.collect_list(F.struct("start", "end")).alias("_found"))  # no more than the text's anchors
+    d, s = documents.withColumn(row, text_row()).alias("d"), found.alias("s")
+    j = d.join(s, (F.col("d.doc_id") == F.col("s._id")) & (F.col(f"d.{row}") == F.col("s.row")), "left")
+    return j.select(*[F.col(f"d.`{c}`") for c in documents.columns], F.col("s._found").alias(spans)), spans
 
 
-def _each(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int, int]]:
-    for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans")):
+def _each(batch: pa.RecordBatch, spans: str) -> Iterator[tuple[bytes, int, int]]:
+    for text, found in zip(batch.column("text").to_pylist(), batch.column(spans)):
         data = (text or "").encode()
-        if spans.is_valid:
-            f = spans.values
+        if found.is_valid:
+            f = found.values
             yield _keep(data, f.field("start").to_numpy(), f.field("end").to_numpy())
         else:
             yield data, 0, 0
 
 
-def suffix_dedup(documents: DataFrame, passes: int = PASSES) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
+def suffix_dedup(documents: DataFrame, **options) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document; options: those of ``spans_of``."""
+    joined, spans = _joined(documents.select("doc_id", "text"), **options)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                rows = [(len(k) + n, n, s, hashlib.sha256(k).hexdigest()) for k, n, s in _each(part)]
+                rows = [(len(k) + n, n, s, hashlib.sha256(k).hexdigest()) for k, n, s in _each(part, spans)]
                 n, gone, runs, sha = zip(*rows)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _joined(documents.select("doc_id", "text"), passes).select("doc_id", "text", "_spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def deduplicated(documents: DataFrame, passes: int = PASSES) -> DataFrame:
+def deduplicated(documents: DataFrame, **options) -> DataFrame:
     """The documents with their repeats cut from text, and n_chars counted again if there is such a column."""
     schema = documents.schema
+    joined, spans = _joined(documents, **options)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = [k.decode("utf-8", "ignore") if n else t for (k, n, _), t in zip(_each(part), part.column("text").to_pylist())]
+                texts = [k.decode("utf-8", "ignore") if n else t for (k, n, _), t in zip(_each(part, spans), part.column("text").to_pylist())]
                 columns = []
                 for f in schema:
                     c = part.column(f.name)
@@ -369,21 +468,22 @@ def deduplicated(documents: DataFrame, passes: int = PASSES) -> DataFrame:
                     columns.append(c)
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return _joined(documents, passes).select(*[F.col(f"`{c}`") for c in schema.names], "_spans").mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema)
 
 
-def brute_force(rows: list[tuple[int, bytes]], length: int = LENGTH) -> dict[int, tuple[int, int, int, str]]:
-    """The definition, string by string, for tests."""
+def brute_force(rows: list[tuple[int, bytes]], length: int = LENGTH) -> list[tuple[int, int, int, int, str]]:
+    """The definition, string by string, for tests: (doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row."""
     first: dict[bytes, int] = {}
     for doc, b in sorted(rows):
         for i in range(len(b) - length + 1):
             first.setdefault(b[i : i + length], doc)
-    out = {}
+    out = []
     for doc, b in rows:
         gone = np.zeros(len(b), bool)
         for i in range(len(b) - length + 1):
             if first[b[i : i + length]] < doc:
                 gone[i : i + length] = True
         runs = int(np.count_nonzero(np.diff(np.r_[0, gone.astype(int)]) == 1))
-        out[doc] = (len(b), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest())
+        out.append((doc, len(b), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
     return out
+

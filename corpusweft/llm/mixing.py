@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .shared import written
+from .shared import free_name, written
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -37,10 +37,13 @@ def size_of(text: str = "text"):
     return F.coalesce(F.regexp_count(F.col(text), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
+def shuffle_key():
+    return F.md5(F.concat_ws("#", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
 def sizes_of(documents: DataFrame) -> DataFrame:
     """rid, doc_id, source, size and the shuffle key of each row; rid is fixed by being written."""
-    key = F.md5(F.concat_ws("#", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = documents.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", size_of().alias("size"), key.alias("shuffle"))
+    rows = documents.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", size_of().alias("size"), shuffle_key().alias("shuffle"))
     return written(rows, "sizes")
 
 
@@ -101,17 +104,15 @@ def mix(documents: DataFrame) -> DataFrame:
 def mixed(documents: DataFrame) -> DataFrame:
     """The documents of the mix with all their columns, a document taken twice as two rows.
 
-    The decision is joined back by doc_id and the text's hash, so rows that share a
-    doc_id keep their own decisions; wholly equal rows share theirs.
+    Rows are written with a number of their own, so that each, equal ones too, has its own
+    decision and no join is on a key that many share.
     """
     columns = documents.columns
-    marked = documents.withColumn("_h", F.xxhash64("text"))
-    sizes = written(marked.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "_h", size_of().alias("size"), F.md5(F.concat_ws("#", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("shuffle")), "sizes")
-    m = mix_sizes(sizes).where("copies > 0").groupBy("doc_id", "source", "_h").agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_rows"))
-    d, m = marked.alias("d"), m.alias("m")
-    j = d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")) & (F.col("d._h") == F.col("m._h")))
-    times = F.ceil(F.col("_all") / F.col("_rows")).cast("int")
-    return j.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*[F.col(f"d.`{c}`") for c in columns])
+    rid, copy = free_name(columns, "_rid"), free_name(columns, "_copy")
+    marked = written(documents.withColumn(rid, F.monotonically_increasing_id()), "marked")
+    sizes = written(marked.select(F.col(rid).alias("rid"), "doc_id", "source", size_of().alias("size"), shuffle_key().alias("shuffle")), "sizes")
+    times = mix_sizes(sizes).where("copies > 0").select(F.col("rid").alias(rid), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy))
+    return marked.join(times, rid).select(*[F.col(f"`{c}`") for c in columns])
 
 
 #: DuckDB SQL over the view ``documents`` that gives ``mix``'s rows

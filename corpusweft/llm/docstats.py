@@ -54,8 +54,22 @@ def repeated_words(codes: np.ndarray, off: np.ndarray, k: int = 8) -> np.ndarray
     return per_row(np.cumsum(cover[:-1]) > 0, off)
 
 
+def block_variety(codes: np.ndarray, off: np.ndarray, k: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    """By row, (distinct words summed over whole blocks of k words, number of such blocks)."""
+    n = np.diff(off)
+    blocks = n // k
+    place = np.arange(len(codes)) - np.repeat(off[:-1], n)
+    row = np.repeat(np.arange(len(n)), n)
+    whole = place < (blocks * k)[row] if len(codes) else np.zeros(0, bool)
+    first = np.concatenate([[0], np.cumsum(blocks)])
+    block = (first[row] + place // k)[whole]
+    width = int(codes.max()) + 1 if len(codes) else 1
+    distinct = np.unique(block * width + codes[whole]) // width
+    return np.diff(np.searchsorted(distinct, first)), blocks
+
+
 def doc_stats(texts: pa.Array) -> dict[str, np.ndarray]:
-    """Counts for each text; a null text counts as empty."""
+    """Counts for each text; a null or empty text has zeros."""
     texts = pc.fill_null(texts, "") if texts.null_count else texts
     b, off = raw(texts)
     blank, lead = _BLANK[b], (b & 0xC0) != 0x80
@@ -81,6 +95,7 @@ def doc_stats(texts: pa.Array) -> dict[str, np.ndarray]:
     lines = np.array([duplicate_lines(t) for t in texts.to_pylist()], np.int64).reshape(-1, 2)
     out["n_lines"], out["n_dup_lines"] = lines[:, 0], lines[:, 1]
     out["n_repeat_words"] = repeated_words(codes, woff)
+    out["variety"], out["n_blocks"] = block_variety(codes.astype(np.int64), woff)
     out["sq_len"] = per_row(lengths * lengths, woff)
     same = np.zeros(len(codes), bool)
     if len(codes) > 1:

@@ -1,47 +1,38 @@
 """License scans by diagonal voting, in DataFrame operations only.
 
 Every rolling hash of ``K`` words of every text is joined to the hashes' places in the
-license notices of ``TEMPLATES`` (a fixed table of a few hundred rows, so broadcast). A
-hit votes for the diagonal (place in text - place in notice) of its document and
-notice; diagonals at most ``GAP`` words apart are merged, so that inserted or missing
-words don't split a notice; a merged span counts if it covers at least ``COVER`` of the
-notice's distinct hash places, and is not spread over more than ``SPREAD`` times its
-words. Only hits are shuffled; texts are not.
+templates, by default the paragraphs of ``license_texts``, or any table (label, text);
+equal hashes count only if their words are equal. A hit votes for the diagonal (place in
+text - place in template) of its text and template; diagonals at most ``GAP`` words apart
+are merged, so that inserted or missing words don't split a template. A merged span is
+verified by its words: those of the template that stand in the text on its diagonals must
+be at least ``COVER`` of the template's, and ``WHOLE`` or all of them, spread over at most
+``SPREAD`` times its length. A span that lies inside one of another label with more words
+verified, or as many of a shorter template, gives way to it.
+Only hits are shuffled, by doc_id and a hash of the text; texts are not.
+
+Templates are broadcast if they have at most ``BROADCAST_PLACES`` places, else joined by
+a shuffle of the rolling hashes, combined with the same result.
 
 Base phrases are found exactly, word by word, beside the method: ``BASE``.
 
 Defined results: a null text counts as empty: no words, no labels (empty strings), score
-0; rows with equal doc_id share the method's labels, nulls included; repeated rows give
-repeated results; an empty table gives an empty result; other columns are ignored.
-``score`` is 1 where a base phrase stands, else the best covered share of a notice
+0; rows with equal doc_id and different texts have their own results, nulls included;
+repeated rows give repeated results; templates with fewer than ``K`` words are never found;
+an empty table gives an empty result; other columns are ignored.
+``score`` is 1 where a base phrase stands, else the best verified share of a template
 whose label is given, else 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-K, GAP, COVER, SPREAD = 3, 3, 0.6, 1.5
+from .license_texts import TEMPLATES
+
+K, GAP, COVER, WHOLE, SPREAD = 3, 3, 0.6, 8, 1.5
+BROADCAST_PLACES = 200_000
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: (label, notice): the notices' words, lower case
-TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "licensed under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("reserved", "copyright all rights reserved no part of this publication may be reproduced"),
-]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -52,35 +43,48 @@ def word_array(text: Column) -> Column:
 
 
 def grams(words: str, k: int = K) -> Column:
-    """Hashes of all runs of k words of an array column, in order."""
-    w = [f"get({words}, i + {j})" if j else f"get({words}, i)" for j in range(k)]
-    return F.expr(f"if(size({words}) < {k}, cast(array() as array<bigint>), transform(sequence(0, size({words}) - {k}), i -> xxhash64({', '.join(w)})))")
-
-
-def template_table(documents: DataFrame, k: int = K) -> DataFrame:
-    """hash, template, label, place and n (the notice's hashes) of each place of each notice."""
-    spark = documents.sparkSession
-    rows = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(TEMPLATES)], "template int, label string, text string")
-    t = rows.select("template", "label", word_array(F.col("text")).alias("w")).withColumn("g", grams("w", k))
-    return t.select("template", "label", F.size("g").alias("n"), F.size("w").alias("length"), F.posexplode("g").alias("place", "hash"))
-
-
-def notices(documents: DataFrame, k: int = K, gap: int = GAP, cover: float = COVER, spread: float = SPREAD) -> DataFrame:
-    """Verified spans: doc_id, template, label, first_word, last_word, coverage."""
-    d = documents.select("doc_id", word_array(F.col("text")).alias("w")).select("doc_id", grams("w", k).alias("g"))
-    all_hashes = d.select("doc_id", F.posexplode_outer("g").alias("pos", "hash"))  # a plain one is planned with a filter that repeats all its work
-    hits = all_hashes.join(F.broadcast(template_table(documents, k)), "hash")
-    votes = hits.groupBy("doc_id", "template", "label", "n", "length", (F.col("pos") - F.col("place")).alias("diagonal")).agg(
+    """All runs of k words of an array column, in order."""
+    w = ", ".join([f"get({words}, i + {j})" if j else f"get({words}, i)" for j in range(k)])
+    return F.expr(f"if(size({words}) < {k}, cast(array() as array<string>), transform(sequence(0, size({words}) - {k}), i -> concat_ws(' ', {w})))")
+
+
+def template_table(spark: SparkSession, templates: list[tuple[str, str]] | DataFrame = TEMPLATES, k: int = K) -> DataFrame:
+    """hash, words, template, label, place and length of each place of each template."""
+    rows = templates if isinstance(templates, DataFrame) else spark.createDataFrame(templates, "label string, text string")
+    t = rows.select("label", F.xxhash64("label", "text").alias("template"), word_array(F.col("text")).alias("w")).distinct()
+    t = t.select("template", "label", F.size("w").alias("length"), F.posexplode(grams("w", k)).alias("place", "words"))
+    return t.select("template", "label", "length", "place", "words", F.xxhash64("words").alias("hash"))
+
+
+def notices(documents: DataFrame, templates: list[tuple[str, str]] | DataFrame = TEMPLATES, k: int = K, gap: int = GAP, cover: float = COVER, spread: float = SPREAD) -> DataFrame:
+    """Verified spans: doc_id, text_hash, template, label, first_word, last_word, coverage."""
+    key = ["doc_id", "text_hash"]
+    d = documents.select("doc_id", text_hash().alias("text_hash"), word_array(F.col("text")).alias("w")).select(*key, grams("w", k).alias("g"))
+    places = d.select(*key, F.posexplode_outer("g").alias("pos", "gram"))  # a plain one is planned with a filter that repeats all its work
+    t = template_table(documents.sparkSession, templates, k)
+    # a table of templates may be of any size; the default one is known
+    if not isinstance(templates, DataFrame) or templates.select(F.coalesce(F.sum(F.size(word_array(F.col("text")))), F.lit(0))).first()[0] <= BROADCAST_PLACES:
+        t = F.broadcast(t)
+    hits = places.withColumn("hash", F.xxhash64("gram")).join(t, "hash").where("gram = words")
+    votes = hits.groupBy(*key, "template", "label", "length", (F.col("pos") - F.col("place")).alias("diagonal")).agg(
         F.collect_set("place").alias("places"), F.min("pos").alias("low"), F.max("pos").alias("high")
-    )  # places: at most n of a notice
-    by = W.partitionBy("doc_id", "template").orderBy("diagonal")
+    )  # places: at most a template's
+    by = W.partitionBy(*key, "template").orderBy("diagonal")
     fresh = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by) > gap).cast("int"), F.lit(1))
     merged = votes.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(by))
-    spans = merged.groupBy("doc_id", "template", "label", "n", "length", "island").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered"), F.min("low").alias("first_word"), (F.max("high") + k - 1).alias("last_word")
-    )
-    good = (F.col("covered") >= F.col("n") * cover) & (F.col("last_word") - F.col("first_word") + 1 <= F.col("length") * spread + gap)
-    return spans.where(good).select("doc_id", "template", "label", "first_word", "last_word", (F.col("covered") / F.col("n")).alias("coverage"))
+    # each place stands for k words of the template
+    covered = F.array_distinct(F.flatten(F.transform(F.array_distinct(F.flatten(F.collect_set("places"))), lambda x: F.sequence(x, x + k - 1))))
+    spans = merged.groupBy(*key, "template", "label", "length", "island").agg(F.size(covered).alias("covered"), F.min("low").alias("first_word"), (F.max("high") + k - 1).alias("last_word"))
+    good = (F.col("covered") >= F.greatest(F.col("length") * cover, F.least("length", F.lit(WHOLE)))) & (F.col("last_word") - F.col("first_word") + 1 <= F.col("length") * spread + gap)
+    good = spans.where(good).select(*key, "template", "label", "first_word", "last_word", "covered", "length", (F.col("covered") / F.col("length")).alias("coverage"))
+    a, b = good.alias("a"), good.alias("b")
+    wider = (F.col("b.first_word") <= F.col("a.first_word")) & (F.col("b.last_word") >= F.col("a.last_word")) & (F.col("b.label") != F.col("a.label"))
+    wider = wider & ((F.col("b.covered") > F.col("a.covered")) | ((F.col("b.covered") == F.col("a.covered")) & (F.col("b.length") < F.col("a.length"))))
+    return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash")) & wider, "left_anti").drop("covered", "length")
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def base_places(words: str) -> dict[str, Column]:
@@ -103,11 +107,42 @@ def base_places(words: str) -> dict[str, Column]:
     return {"n_base": sum(n[1:], n[0]), "first_word": F.least(*first), "last_word": F.greatest(*last), "base": F.array_sort(F.array_compact(F.array(*labels)))}
 
 
-def license_scan(documents: DataFrame) -> DataFrame:
+def license_scan(documents: DataFrame, templates: list[tuple[str, str]] | DataFrame = TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every document."""
-    base = documents.select("doc_id", word_array(F.col("text")).alias("w")).select("doc_id", F.size("w").cast("long").alias("n_words"), *[c.alias(a) for a, c in base_places("w").items()])
-    found = notices(documents).groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("label").alias("found"), F.max("coverage").alias("best"))
-    j = base.join(found, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    base = documents.select("doc_id", text_hash().alias("text_hash"), word_array(F.col("text")).alias("w"))
+    base = base.select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), *[c.alias(a) for a, c in base_places("w").items()])
+    found = notices(documents, templates).groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(F.collect_set("label").alias("found"), F.max("coverage").alias("best"))
+    j = base.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left")
     every = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("found", F.array().cast("array<string>")))))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
     return j.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), score.alias("score"))
+
+
+def license_sql(templates: list[tuple[str, str]] = TEMPLATES) -> str:
+    """DuckDB SQL over the view ``documents`` that gives ``license_scan``'s rows."""
+    lists = lambda t: f"list_filter(regexp_split_to_array(translate(coalesce({t}, ''), '{_UPPER}', '{_LOWER}'), '{_BREAK}'), lambda x: x <> '')"
+    gram = " || ' ' || ".join(f"w[i + {j}]" for j in range(K))
+    values = ", ".join(f"('{label}', '{text}')" for label, text in sorted(set(templates)))
+    phrases = []
+    for phrase, label in BASE.items():
+        test = " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(phrase.split()))
+        phrases.append(f"SELECT rid, i - 1 AS start, '{label}' AS label FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM d) WHERE {test}")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {lists('text')} AS w FROM documents),
+b AS ({' UNION ALL '.join(phrases)}),
+base AS (SELECT rid, count(*)::BIGINT AS n, min(start) AS first_word, max(start) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM b GROUP BY rid),
+g AS (SELECT rid, i - 1 AS pos, {gram} AS gram FROM (SELECT rid, w, unnest(range(1, len(w) - {K} + 2)) AS i FROM d)),
+t AS (SELECT label, row_number() OVER () AS template, {lists('text')} AS w FROM (VALUES {values}) v(label, text)),
+p AS (SELECT label, template, len(w) AS length, i - 1 AS place, {gram} AS gram FROM (SELECT *, unnest(range(1, len(w) - {K} + 2)) AS i FROM t)),
+hits AS (SELECT rid, template, label, length, pos, place, pos - place AS diagonal FROM g JOIN p USING (gram)),
+lines AS (SELECT rid, template, diagonal, coalesce((diagonal - lag(diagonal) OVER w > {GAP})::INT, 1) AS fresh FROM (SELECT DISTINCT rid, template, diagonal FROM hits) WINDOW w AS (PARTITION BY rid, template ORDER BY diagonal)),
+islands AS (SELECT rid, template, diagonal, sum(fresh) OVER (PARTITION BY rid, template ORDER BY diagonal) AS island FROM lines),
+spans AS (SELECT rid, template, any_value(label) AS label, any_value(length) AS length, island, count(DISTINCT place + j) AS covered, min(pos) AS low, max(pos) + {K - 1} AS high
+  FROM hits JOIN islands USING (rid, template, diagonal), range(0, {K}) x(j) GROUP BY rid, template, island),
+good AS (SELECT * FROM spans WHERE covered >= greatest(length * {COVER}::DOUBLE, least(length, {WHOLE})) AND high - low + 1 <= length * {SPREAD}::DOUBLE + {GAP}),
+found AS (SELECT rid, list(DISTINCT label) AS labels, max(covered::DOUBLE / length) AS best FROM good a
+  WHERE NOT EXISTS (SELECT 1 FROM good b WHERE b.rid = a.rid AND b.low <= a.low AND b.high >= a.high AND (b.covered > a.covered OR b.covered = a.covered AND b.length < a.length) AND b.label <> a.label) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.first_word::BIGINT AS first_word, base.last_word::BIGINT AS last_word, coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []::VARCHAR[]), coalesce(found.labels, []::VARCHAR[])))), ',') AS labels,
+  CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(found.best, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base USING (rid) LEFT JOIN found USING (rid)"""

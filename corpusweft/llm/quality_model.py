@@ -11,7 +11,8 @@ keeps the driver's memory fixed. Every document is scored.
 
 Defined results: a null or empty text is scored from its zero counts like any other;
 a null doc_id has no label, is not held out and is scored; repeated labels of one
-document count by their smallest quality; with no usable labels, or labels of one
+document count by their smallest quality, and of a document's rows the one with the
+smallest features is learnt from; with no usable labels, or labels of one
 class, every score is the Laplace-smoothed share of label 1; repeated rows give
 repeated results; an empty table gives an empty result.
 """
@@ -135,7 +136,7 @@ def fit(table: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Forest:
     """Train on the labelled rows that are not held out; only ``most`` rows reach the driver."""
     known = labels.where("doc_id is not null and quality is not null").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    got = table.join(chosen, "doc_id").groupBy("doc_id").agg(F.first("x").alias("x"), F.first("y").alias("y")).orderBy("doc_id").toArrow()
+    got = table.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("y").alias("y")).orderBy("doc_id").toArrow()
     x = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)) if got.num_rows else np.zeros((0, len(FEATURES)), np.float32)
     return train(x, got["y"].to_numpy().astype(float))
 

@@ -1,14 +1,20 @@
 """A training-data pipeline of five stages over ``documents``.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and
-returns the columns of ``documents``, but for the last, which returns piece ids. ``run``
+returns the columns of ``documents``, but for the last, which returns doc_id, source, lang, ids
+and text. ``run``
 writes each stage's rows as Parquet in the shared folder and reads them again.
 
 1. quality: documents that the classifier rejects go.
 2. near_duplicates: the smallest doc_id of each near-duplicate class stays.
 3. repeats: passages that stand in a document with a smaller doc_id are cut from text.
 4. mix: sources are mixed to their targets; a document taken twice becomes two rows.
-5. pieces: texts become SentencePiece ids; the text is the ids' decoding.
+5. pieces: texts become SentencePiece ids, and the ids are decoded to text again.
+
+Defined results are those of the operators, by stage: null and empty texts have the score of
+their zero counts, and go if that is too low; of rows that share a doc_id one stays; columns
+beyond those of ``documents`` pass through the first four stages; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode(docs, keep=("source", "lang"))
+    return pieces.decode(pieces.encode(docs, keep=("source", "lang")), keep=("source", "lang", "ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

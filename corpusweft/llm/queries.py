@@ -19,11 +19,12 @@ def op1_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = token_counts.TokenRollup(spark, new_path(spark, "rollup"))
-    changes = token_counts.inserts(_table(spark, sf_dir, "documents"))
-    rollup.apply("documents", changes)
-    rollup.apply("documents", changes)  # sent again: nothing is done
-    return rollup.totals()
+    return token_counts.rebuilt(token_counts.TokenRollup(spark, new_path(spark, "rollup")), _table(spark, sf_dir, "documents"))
+
+
+def word_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with words for tokens, which SQL can count."""
+    return token_counts.rebuilt(token_counts.TokenRollup(spark, new_path(spark, "rollup"), token_counts.WORDS), _table(spark, sf_dir, "documents"))
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def base_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op7 that SQL can express."""
+    return quality_rules.base_counts(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -60,8 +66,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vp_search, op2_token_rollup, op3_sentencepiece, op4_suffix_dedup, op5_lm_scores, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_vp_search, op2_token_rollup, op3_sentencepiece, op4_suffix_dedup, op5_lm_scores, op6_mix_sources, op7_quality_rules, op8_simhash_dedup, op9_license_scan, op10_quality_classifier, word_rollup, base_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix_sources": mixing.MIX_SQL}
+    return {"op6_mix_sources": mixing.MIX_SQL, "op9_license_scan": license_scan.license_sql(), "word_rollup": token_counts.WORDS_SQL, "base_rules": quality_rules.BASE_SQL}

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusweft.llm import license_scan, lm_score, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts, vp_search
+from corpusweft.llm import components, license_scan, lm_score, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts, vp_search
 from corpusweft.llm.docstats import doc_stats
 from corpusweft.llm.shared import new_path
 
@@ -28,28 +28,56 @@ def docs(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def brute_nearest(x, ids, k=20, modulus=20):
+    out = {}
+    for i in ids:
+        if i % modulus == 0:
+            s = np.zeros(len(x))
+            for j in range(x.shape[1]):
+                s = s + x[i, j] * x[:, j]
+            order = [n for n in np.lexsort((np.arange(len(x)), -s)) if n != i][:k]
+            out[i] = [(r + 1, int(n), s[n]) for r, n in enumerate(order)]
+    return out
+
+
+def found_nearest(df):
+    got = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return got
+
+
 def test_vp(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(400, 8)).round(2)
     x[50:120] = x[50]  # a hot group of copies
-    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1001, [0.0] * 8), (1002, [float("nan")] * 8), (1003, [1.0]), (None, x[0].tolist())]
-    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    want = {}
-    for i in range(0, 400, 20):
-        s = np.zeros(400)
-        for j in range(8):
-            s = s + x[i, j] * x[:, j]
-        order = [k for k in np.lexsort((np.arange(400), -s)) if k != i][:20]
-        want[i] = [(r + 1, int(k), s[k]) for r, k in enumerate(order)]
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(x)] + [(1000, None, "x"), (1001, [0.0] * 8, "x"), (1002, [float("nan")] * 8, "x"), (1003, [1.0], "x"), (None, x[0].tolist(), "x")]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>, shard string")
+    want = brute_nearest(x, range(400))
     for shard_rows, factor, least in ((10_000, 1.0, 1.0), (60, 1.0, 1.0), (60, 1.25, 0.9)):
-        got = {}
-        for r in vp_search.nearest(e, factor=factor, shard_rows=shard_rows, leaf=16).orderBy("query_id", "rank").collect():
-            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        got = found_nearest(vp_search.nearest(e, factor=factor, shard_rows=shard_rows, leaf=16))
         recall = np.mean([len({k for _, k, _ in got[q]} & {k for _, k, _ in want[q]}) / 20 for q in want])
         assert recall >= least and (least < 1 or got == want)
     assert vp_search.nearest(e.where("vec_id > 999")).count() == 0
 
 
+def test_vp_ties(spark):
+    x = np.array([[(i >> b) & 1 for b in range(9)] for i in range(1, 512)], float)
+    e = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for shard_rows in (10_000, 100):
+        assert found_nearest(vp_search.nearest(e, factor=1.0, shard_rows=shard_rows, leaf=16)) == brute_nearest(x, range(511))
+
+
+@pytest.mark.parametrize("dim,n", [(8, 2000), (64, 2000), (768, 600)])
+def test_vp_recall_at_the_default(spark, dim, n):
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(n, dim)) + 0.5 * rng.normal(size=(20, dim))[rng.integers(0, 20, n)]
+    e = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = {q: {k for _, k, _ in v} for q, v in brute_nearest(x, range(n)).items()}
+    got = found_nearest(vp_search.nearest(e, shard_rows=500))
+    assert np.mean([len({k for _, k, _ in got[q]} & want[q]) / 20 for q in want]) >= 0.9
+
+
 def test_tokens(spark, odd, empty):
     enc = token_counts.tokenizer("/opt/tokenizers/byte_bpe_50k.tiktoken").encode_ordinary
     t = token_counts.TokenRollup(spark, new_path(spark, "t"))
@@ -59,11 +87,74 @@ def test_tokens(spark, odd, empty):
     first = total()
     assert first[None, "en"][:2] == (1, len(enc("null id here"))) and first[None, None] == (1, 0, 0) and sum(v[0] for v in first.values()) == 8
     change = spark.createDataFrame([("D", 3, "a", "en", None), ("R", 4, "c", "fr", "new text"), ("D", 99, None, None, None)], "op string, doc_id long, source string, lang string, text string")
-    assert t.apply("b", change) and not t.apply("b", change)
+    assert t.apply(".b/x", change) and not t.apply(".b/x", change)
     second = total()
     assert ("b", "fr") not in second and second["c", "fr"] == (1, len(enc("new text")), 8) and second["a", "en"][0] == first["a", "en"][0] - 2
 
 
+def test_tokens_within_a_batch(spark):
+    rows = [("I", 1, 1, "a", "x y"), ("D", 1, 2, "a", None), ("R", 2, 1, "a", "x"), ("R", 2, 2, "a", "x y z"), ("D", 3, 1, "a", None), ("I", 3, 2, "b", "x"), ("R", 4, None, "c", "x y"), ("R", 4, None, "c", "x"), ("I", 5, None, "c", "x"), ("D", 5, None, "c", None), ("?", 6, None, "c", "x")]
+    t = token_counts.TokenRollup(spark, new_path(spark, "t"), token_counts.WORDS)
+    assert t.apply("one", spark.createDataFrame([(*r, "en") for r in rows], "op string, doc_id long, seq long, source string, text string, lang string"))
+    assert {(r["source"], r["n_docs"], r["n_tokens"]) for r in t.totals().collect()} == {("a", 1, 3), ("b", 1, 1), ("c", 1, 1)}
+
+
+def test_tokens_of_two_writers(spark):
+    d = spark.createDataFrame([(1, "a", "en", "x y"), (2, "a", "en", "x")], "doc_id long, source string, lang string, text string")
+    path = new_path(spark, "t")
+    one, two = (token_counts.TokenRollup(spark, path, token_counts.WORDS) for _ in range(2))
+    one.apply("first", token_counts.inserts(d))
+    write = two._write
+
+    def late(*args):  # another writer commits the same number meanwhile
+        write(*args)
+        two._write = write
+        one.apply("other", token_counts.changed(d, "R", source=F.lit("b")))
+
+    two._write = late
+    assert two.apply("mine", token_counts.changed(d.where("doc_id = 1"), "D"))
+    assert [tuple(r) for r in two.totals().collect()] == [("b", "en", "words", 1, 1, 1)] and len(two.commits()) == 3
+
+
+def test_rollup_of_every_kind(spark, odd):
+    got = token_counts.rebuilt(token_counts.TokenRollup(spark, new_path(spark, "t"), token_counts.WORDS), odd)
+    assert {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in got.collect()} == {(None, None): (1, 0), ("a", "en"): (5, 60_003), (None, "en"): (1, 3), ("b", "fr"): (1, 2)}
+
+
+def unigram_model():
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m = pb.ModelProto()
+    rnd = random.Random(1)
+    m.trainer_spec.model_type, m.trainer_spec.unk_id = 1, 0
+    m.normalizer_spec.name, m.normalizer_spec.add_dummy_prefix, m.normalizer_spec.remove_extra_whitespaces, m.normalizer_spec.escape_whitespaces = "identity", True, False, True
+    words = {"".join(rnd.choice("abc") for _ in range(n)) for n in (1, 2, 3, 4) for _ in range(20)} | {"a", "b", "c"}
+    for piece, kind in [("<unk>", 2), ("<s>", 3), ("</s>", 3), ("\u2581", 1), *[(w, 1) for w in sorted(words)], *[("\u2581" + w, 1) for w in sorted(words)[::2]]]:
+        p = m.pieces.add()
+        p.piece, p.type, p.score = piece, kind, -rnd.random() * 10
+    return m.SerializeToString()
+
+
+def test_pieces_of_a_unigram_model(spark, tmp_path):
+    (tmp_path / "m").write_bytes(unigram_model())
+    rnd = random.Random(4)
+    texts = [(i, "".join(rnd.choice(a) for _ in range(700))) for i, a in enumerate(["abc", "abc ", "aab c", "a"])]
+    e = pieces.encode(spark.createDataFrame(texts, "doc_id long, text string"), str(tmp_path / "m"), giant=120, chunk=90, fan=2, keep=())
+    m = pieces.load(str(tmp_path / "m"))
+    score = lambda ids: sum(m.score[p] for p in m.lib.id_to_piece(ids))
+    for r in e.collect():  # ties apart, the best path
+        text = texts[r["doc_id"]][1]
+        assert m.lib.decode(r["ids"]) == text and abs(score(r["ids"]) - score(m.lib.encode(text))) < 1e-3
+
+
+def test_pieces_long_texts_and_names(spark, odd):
+    d = odd.withColumns({"h": F.lit("mine"), "key": F.lit("too"), "_text": F.lit(1)})
+    e = pieces.encode(d, keep=("h", "key", "_text", "text")).collect()
+    lib = pieces.load(pieces.MODEL).lib
+    assert len(e) == 8 and {(r["h"], r["key"], r["_text"]) for r in e} == {("mine", "too", 1)}
+    assert all(list(r["ids"]) == lib.encode(r["text"] or "") for r in e)
+
+
 @pytest.mark.parametrize("chunk", [160, 1000])
 def test_pieces(spark, odd, docs, chunk):
     lib = pieces.load(pieces.MODEL).lib
@@ -95,14 +186,25 @@ def test_suffix(spark, odd, empty):
         t = text(rnd.randrange(1, 60))
         rows.append((i, t[: len(t) // 2] + (passage[rnd.randrange(20) :] if i % 3 else passage) + t[len(t) // 2 :]))
     rows += [(100, rows[3][1]), (101, rows[3][1][7:90]), (102, "z" * 300), (103, "z" * 120), (104, ""), (105, "y" * 49), (106, "y" * 50), (107, "y" * 50)]
-    want = suffix_dedup.brute_force([(i, t.encode()) for i, t in rows])
+    rows += [(7, rows[9][1]), (7, text(40)), (None, rows[9][1]), (9, rows[9][1])]  # texts that share a doc_id
+    want = sorted(suffix_dedup.brute_force([(i, t.encode()) for i, t in rows if i is not None]))
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for passes in (1, 3):
-        assert {r[0]: tuple(r)[1:] for r in suffix_dedup.suffix_dedup(d, passes).collect()} == want
+    small = {"held_bytes": 3000, "bucket_bytes": 2000, "most_partitions": 2}  # several buckets a partition, which overflow
+    for options in ({}, {"passes": 1}, {"passes": 3} | small, {"passes": 1} | small):
+        got = suffix_dedup.suffix_dedup(d, **options).collect()
+        assert sorted(tuple(r) for r in got if r[0] is not None) == want and [tuple(r)[2:4] for r in got if r[0] is None] == [(0, 0)]
     got = {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.suffix_dedup(odd).collect()}
     assert (None, 12, 0) in got and (1, 0, 0) in got and (6, 200_000, 0) in got
-    cut = suffix_dedup.deduplicated(odd)
-    assert cut.columns == odd.columns and cut.count() == 8 and suffix_dedup.suffix_dedup(empty).count() == 0
+    named = odd.withColumns({"_spans": F.lit(1), "_row": F.lit("r"), "row": F.lit(2)})
+    cut = suffix_dedup.deduplicated(named)
+    assert cut.columns == named.columns and cut.count() == 8 and suffix_dedup.suffix_dedup(empty).count() == 0
+    assert {(r["_spans"], r["_row"], r["row"]) for r in cut.collect()} == {(1, "r", 2)}
+
+
+def test_suffix_keeps_unique_text_of_a_shared_id(spark):
+    unique, repeat = "this text stands nowhere else in the whole table, not one bit of it, which is so, really", "a passage that two documents hold, word for word and letter for letter, to its very end"
+    d = spark.createDataFrame([(1, repeat), (2, repeat), (2, unique)], "doc_id long, text string")
+    assert sorted(r["text"] for r in suffix_dedup.deduplicated(d).collect()) == ["", repeat, unique]
 
 
 def test_lm(spark, docs, odd, empty):
@@ -148,8 +250,11 @@ def test_mix(spark, odd, empty, docs):
         s[0] += r["taken"]
         s[1] = max(s[1], r["size"])
     assert all(abs(taken - target) <= 2 * most for (_, target), (taken, most) in by.items())
-    mixed = mixing.mixed(odd)
-    assert mixed.columns == odd.columns and mixed.count() == sum(r["taken"] // r["size"] for r in got if r["size"])
+    equal = odd.where("doc_id = 3").limit(1).crossJoin(spark.range(5).select(F.lit("r").alias("_rid"), F.lit("c").alias("_copy"), F.lit(7).alias("_h")))
+    more = equal.unionByName(odd.withColumns({"_rid": F.lit("r"), "_copy": F.lit("c"), "_h": F.lit(7)}))
+    for d in (odd, more):  # equal rows, and names that the operator might use
+        out = mixing.mixed(d)
+        assert out.columns == d.columns and out.count() == sum(r["taken"] // r["size"] for r in mixing.mix(d).collect() if r["size"])
 
 
 def test_mix_equals_sql(spark, sf, docs):
@@ -183,6 +288,53 @@ def test_rules(spark, odd, empty, docs):
     assert len(got) == 8 and [r["kept"] for r in got if r["doc_id"] in (1, 2, 3)] == [False] * 4 and quality_rules.quality_rules(empty).count() == 0
 
 
+def test_rules_equal_sql(spark, sf, docs):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = sorted(con.execute(quality_rules.BASE_SQL).fetchall())
+    assert sorted(tuple(r) for r in quality_rules.base_counts(docs).collect()) == want
+
+
+def plain_mcd(x, share, starts=50, seed=3):
+    """FAST-MCD: random starts, concentration to the end, the smallest determinant, one reweighting."""
+    rng, best = np.random.default_rng(seed), None
+    h, p = int(np.ceil(share * len(x))), x.shape[1]
+    for _ in range(starts):
+        rows = rng.choice(len(x), p + 2, replace=False)
+        for _ in range(30):
+            c, s = x[rows].mean(0), np.cov(x[rows].T, bias=True) + 1e-12 * np.eye(p)
+            rows = np.argsort(np.einsum("ij,jk,ik->i", x - c, np.linalg.inv(s), x - c))[:h]
+        c, s = x[rows].mean(0), np.cov(x[rows].T, bias=True)
+        if best is None or np.linalg.det(s) < best[0]:
+            best = (np.linalg.det(s), c, s * quality_rules.consistency(share))
+    _, c, s = best
+    near = np.einsum("ij,jk,ik->i", x - c, np.linalg.inv(s), x - c) <= quality_rules.quantile(1 - quality_rules.REWEIGHTED)
+    return x[near].mean(0), np.cov(x[near].T, bias=True) * quality_rules.consistency(quality_rules.REWEIGHTED)
+
+
+def test_mcd_equals_plain_mcd(spark):
+    rng = np.random.default_rng(8)
+    mix = rng.normal(size=(4, 4)) * 0.4
+    x = (rng.normal(size=(3000, 4)) @ mix + 1.0) * 0.3
+    x[:400] = rng.normal(size=(400, 4)) * 0.2 + np.array([6.0, -4.0, 5.0, 0.0])  # a cluster of outliers
+    d = spark.createDataFrame([("en", "a", *v) for v in x.tolist()], ["lang", "source", *quality_rules.DIMS])
+    got = quality_rules.mcd(d).where("level = 2").first()
+    centre, cov = plain_mcd(x, quality_rules.KEPT_SHARE)
+    assert np.allclose(got["centre"], centre, atol=0.03) and np.allclose(np.reshape(got["cov"], (4, 4)), cov, atol=0.06 * np.abs(cov).max())
+    assert np.array([(quality_rules.SINGULAR * v) ** 2 for v in quality_rules.USUAL.values()]).max() < 0.1 * np.diag(cov).min()
+    assert abs(quality_rules.quantile(0.05) - 9.4877) < 1e-3 and abs(quality_rules.consistency(0.75) - 1.486) < 0.01
+
+
+def test_rules_reject_junk_only(spark, sf):
+    d = sf.replace("sf0.001", "sf0.01")
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    r = quality_rules.quality_rules(docs).where("not base_failed").join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("double"))).collect()
+    by = {x[0]: x[1] for x in r}
+    assert by[1] >= 0.99 and by[0] <= 0.1
+
+
 def brute_classes(rows):
     keyed = {}
     for i, t in rows:
@@ -236,15 +388,101 @@ def test_near_long_texts_exactly(spark):
     assert got == want and len(set(want.values())) == 18
 
 
+def test_near_short_texts(spark):
+    rnd = random.Random(6)
+    rows = []
+    for k in range(150):  # 8 words and the same with one more: 4 of 5 shingles
+        w = [str(rnd.randrange(10**6)) for _ in range(9)]
+        rows += [(2 * k, " ".join(w[:8])), (2 * k + 1, " ".join(w))]
+    got = {r[0]: r[1] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows) and set(got.values()) == {2 * k for k in range(150)}
+
+
+def test_blocks_of_families(spark):
+    rnd = random.Random(7)
+    base = [str(rnd.randrange(10**6)) for _ in range(60)]
+    rows = [(i, " ".join(w if rnd.random() > 0.01 else "changed" for w in base)) for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    s = near_dedup.sketches(d).select(F.lit(1).cast("long").alias("family"), F.col("doc_id").alias("id"), "sketch", "sample")
+    whole, parts = (components.components(near_dedup.verified_links(s, block=b).where("sure").select("a", "b")) for b in (1000, 7))
+    assert near_dedup.dealt(s, 7).select("task").distinct().count() > 20 and sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+
+
+def test_split_buckets_keep_pairs():
+    rng = np.random.default_rng(1)
+    for m in (1200, 20_000):  # pairs at 15 % bit distance in one bucket that is cut
+        bits = rng.integers(0, 2, (m, near_dedup.BITS), dtype=np.uint8)
+        bits[1:600:2] = bits[0:600:2] ^ (rng.random((300, near_dedup.BITS)) < 0.15)
+        order = rng.permutation(m)
+        at = np.argsort(order)
+        link = near_dedup.Linker(np.packbits(bits[order], axis=1).view(np.uint64), near_dedup.LOOSE)
+        link.runs(np.zeros(m, np.int64))
+        assert np.mean([link.forest.root(int(at[k])) == link.forest.root(int(at[k + 1])) for k in range(0, 600, 2)]) >= 0.98
+
+
+def test_large_buckets_are_cut_before_the_shuffle(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, bytearray(rng.bytes(near_dedup.BITS // 8))) for i in range(300)] + [(300 + i, bytearray(b"\x01" * 32)) for i in range(5)]
+    d = spark.createDataFrame(rows, "id long, sketch binary")
+    assert near_dedup.loose_links(near_dedup.bucketed(d, 3)).where("a >= 300").select("b").distinct().count() >= 1
+
+
+def test_a_hundred_thousand_near_equal_texts():
+    rng = np.random.default_rng(3)
+    bits = rng.integers(0, 2, near_dedup.BITS, dtype=np.uint8)[None] ^ (rng.random((100_000, near_dedup.BITS)) < 0.03)
+    link = near_dedup.Linker(np.packbits(bits, axis=1).view(np.uint64), near_dedup.LOOSE)
+    link.runs(np.zeros(100_000, np.int64))
+    assert len(link.a) == 99_999
+
+
+def test_components(spark):
+    rounds = []
+    chain = spark.range(10_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert components.components(chain, rounds).groupBy("component").count().collect() == [(0, 10_001)] and rounds[0] <= 2
+    rnd = random.Random(5)
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(1000, i) for i in range(500, 560)]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = root(a), root(b)
+            up[max(x, y)] = min(x, y)
+    got = components.components(spark.createDataFrame(links, "a long, b long"))
+    assert dict(map(tuple, got.collect())) == {x: root(x) for x in up}
+    assert components.components(chain.limit(0)).count() == 0
+
+
 def test_license(spark, odd, empty):
-    rows = [(1, "Foo. CC-BY x; all Rights\nreserved! cc by"), (2, "Permission is hereby granted, free of charge, to any lucky person obtaining a copy of this software and associated documentation files"), (3, None), (4, "released under the MIT license"), (5, "GENERAL public license é9"), (6, "cc by cc by")]
-    got = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    rows = [(1, "Foo. CC-BY x; all Rights\nreserved! cc by"), (2, "Permission is hereby granted, free of charge, to any lucky person obtaining a copy of this software and associated documentation files"), (3, None), (4, "released under the MIT license"), (5, "GENERAL public license é9"), (6, "cc by cc by"), (4, "nothing here"), (7, "this work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"), (8, "licensed under the moon"), (9, "Permission is granted, free of charge, to any person obtaining a copy of this software and documentation files")]
+    every = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r["doc_id"]: r for r in every if r["doc_id"] != 4 or r["n_words"] > 2}
+    assert [(r["labels"], r["score"]) for r in every if r["n_words"] == 2] == [("", 0.0)] and got[7]["labels"] == "cc-by-nc" and got[8]["labels"] == ""
     f = lambda i: (got[i]["n_words"], got[i]["n_base"], got[i]["first_word"], got[i]["last_word"], got[i]["base_labels"], got[i]["labels"])
     assert f(1) == (9, 3, 1, 7, "cc-by,reserved", "cc-by,reserved") and f(3) == (0, 0, None, None, "", "") and f(5)[1:] == (1, 0, 0, "gpl", "gpl") and f(6)[:4] == (4, 2, 0, 2)
-    assert got[2]["labels"] == "mit" and 0.6 <= got[2]["score"] < 1 and got[4]["labels"] == "mit" and got[4]["score"] == 1 and got[3]["score"] == 0
+    assert got[2]["labels"] == "mit" and got[2]["score"] == 1 and got[9]["labels"] == "mit" and 0.6 <= got[9]["score"] < 1 and got[4]["labels"] == "mit" and got[4]["score"] == 1 and got[3]["score"] == 0
     assert license_scan.license_scan(odd).count() == 8 and license_scan.license_scan(empty).count() == 0
 
 
+def test_license_templates_table(spark):
+    own = spark.createDataFrame([("house", "these words belong to the house and to nobody else at all")], "label string, text string")
+    d = spark.createDataFrame([(1, "he said: these words belong to the house, and to NOBODY else at all."), (2, "these words belong to us")], "doc_id long, text string")
+    assert [r["labels"] for r in license_scan.license_scan(d, own).orderBy("doc_id").collect()] == ["house", ""]
+
+
+def test_license_equals_sql(spark, sf, docs):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = sorted(con.execute(license_scan.license_sql()).fetchall(), key=repr)
+    assert sorted(map(tuple, license_scan.license_scan(docs).collect()), key=repr) == want
+
+
 def test_classifier(spark, odd, empty, docs, sf):
     d = sf.replace("sf0.001", "sf0.01")  # enough labels to learn from
     labels, docs = spark.read.parquet(f"{d}/labels.parquet"), spark.read.parquet(f"{d}/documents.parquet")
@@ -264,3 +502,26 @@ def test_forest():
     f = quality_model.train(x, y)
     x2 = rng.normal(size=(500, 4)).astype(np.float32)
     assert ((f.scores(x2) > 0.5) == ((x2[:, 0] > 0) ^ (x2[:, 2] > 0.3))).mean() > 0.93
+
+
+def test_scores_equal_a_walk_down_each_tree(spark, docs, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    forest = quality_model.fit(quality_model.feature_table(docs), labels)
+    rows = docs.limit(40).collect()
+    x = quality_model.features(pa.array([r["text"] for r in rows]))
+    got = {r["doc_id"]: r["score"] for r in quality_model.quality_scores(docs, labels).collect()}
+    for row, v in zip(rows, x):
+        total = forest.base
+        for feature, cut, leaf in zip(forest.feature, forest.cut, forest.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if v[feature[node]] > cut[node] else 1)
+            total += leaf[node - len(feature)]
+        assert abs(got[row["doc_id"]] - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_classifier_with_repeated_ids(spark, docs, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    twice = docs.unionByName(docs.withColumn("text", F.reverse("text")))
+    one, two = (sorted(map(tuple, quality_model.quality_scores(twice.repartition(n), labels).collect())) for n in (2, 5))
+    assert one == two

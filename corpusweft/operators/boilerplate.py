@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import SMALL, Config
 from ..functions import text as T
-from ..functions.vectorised import vectorised
+from ..functions.vectorised import typed, vectorised
 
+STOP_ROWS = 1_000_000
+_SPACE = re.compile("[\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")  # Unicode white space
+_SELECT, _HEADING = re.compile(r"(^|\.)select(\.|$)"), re.compile(r"(^|\.)h[1-6](\.|$)")
 CLASSED = "array<struct<text:string,words:int,link_chars:int,dom_path:string,heading:boolean,cfclass:string,class:string>>"
 
 
@@ -92,20 +97,60 @@ def _revised(paragraphs: pd.Series) -> pd.Series:
     return paragraphs.map(lambda ps: revise([dict(p) for p in ps]) if ps is not None else None)
 
 
-def classify(pages: DataFrame, stops: DataFrame, lang: str = "lang", paragraphs: str = "paragraphs", config: Config = SMALL) -> DataFrame:
-    """Pages with ``paragraphs`` as structs that end in heading, cfclass and class; stops: (lang, word)."""
-    lists = stops.groupBy(F.col("lang").alias("_lang")).agg(F.collect_set("word").alias("_stops"))  # a few thousand words a language
+def free_class(p: dict, stops: frozenset[str], config: Config = SMALL) -> dict:
+    """``context_free`` for a paragraph as a dictionary: with heading and cfclass."""
+    size, links = len(p["text"]), p["link_chars"]
+    if (size and links / size > config.max_link_density) or "©" in p["text"] or _SELECT.search(p["dom_path"]):
+        c = "bad"
+    elif size < config.length_low:
+        c = "bad" if links > 0 else "short"
+    else:
+        words = [w for w in _SPACE.split(p["text"].lower()) if w]
+        density = sum(w in stops for w in words) / len(words) if words else 0.0
+        if density >= config.stopwords_high:
+            c = "good" if size > config.length_high else "neargood"
+        else:
+            c = "neargood" if density >= config.stopwords_low else "bad"
+    return p | {"heading": bool(_HEADING.search(p["dom_path"])), "cfclass": c}
+
+
+def stop_sets(stops: DataFrame, most: int = STOP_ROWS) -> dict[str, frozenset[str]] | None:
+    """A table (lang, word) as sets, if it has at most ``most`` rows."""
+    rows = stops.where("lang is not null and word is not null").select("lang", "word").limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return None
+    out: dict[str, set[str]] = {}
+    for lang, word in zip(rows["lang"].to_pylist(), rows["word"].to_pylist()):
+        out.setdefault(lang, set()).add(word)
+    return {k: frozenset(v) for k, v in out.items()}
+
+
+def classify(pages: DataFrame, stops: DataFrame, lang: str = "lang", paragraphs: str = "paragraphs", config: Config = SMALL, most: int = STOP_ROWS) -> DataFrame:
+    """Pages with ``paragraphs`` as structs that end in heading, cfclass and class; stops: (lang, word).
+
+    Lists of at most ``most`` words in all are looked up as sets; larger ones are joined.
+    """
+    sets = stop_sets(stops, most)
+    if sets is not None:
+        def run(langs: pd.Series, found: pd.Series) -> pd.Series:
+            return pd.Series([None if ps is None else revise([free_class(dict(p), sets.get(k, frozenset()), config) for p in ps], config) for k, ps in zip(langs, found)], dtype=object)
+
+        return pages.withColumn(paragraphs, F.pandas_udf(typed(run, pd.Series), CLASSED)(F.col(lang), F.col(paragraphs)))
+    lists = stops.groupBy(F.col("lang").alias("_lang")).agg(F.collect_set("word").alias("_stops"))
     j = pages.join(lists, pages[lang] == F.col("_lang"), "left").withColumn("_stops", F.coalesce("_stops", F.array().cast("array<string>")))
     free = F.transform(F.col(paragraphs), lambda p: F.struct(p["text"], p["words"], p["link_chars"], p["dom_path"], is_heading(p).alias("heading"), context_free(p, F.col("_stops"), config).alias("cfclass")))
     return j.withColumn(paragraphs, _revised(free)).select(*pages.columns)
 
 
+def in_text(p: Column, config: Config = SMALL) -> Column:
+    """A paragraph is part of the plain text: good in the end, or neargood by itself if those are allowed."""
+    good = p["class"] == "good"
+    return good | (p["cfclass"] == "neargood") if config.allow_neargood else good
+
+
 def kept(p: Column, config: Config = SMALL) -> Column:
     """A paragraph goes into the corpus."""
-    keep = p["class"] == "good"
-    if config.allow_neargood:
-        keep = keep | (p["cfclass"] == "neargood")
-    return F.lit(True) if config.keep_bad else keep
+    return F.lit(True) if config.keep_bad else in_text(p, config)
 
 
 def good_only(paragraphs: Column) -> Column:
@@ -113,5 +158,5 @@ def good_only(paragraphs: Column) -> Column:
 
 
 def plain_text(paragraphs: Column, config: Config = SMALL) -> Column:
-    """Text of the kept paragraphs that are not bad, one to a line."""
-    return F.array_join(F.transform(F.filter(paragraphs, lambda p: kept(p, config) & (p["class"] != "bad")), lambda p: p["text"]), "\n")
+    """Text of the paragraphs that are part of it, one to a line."""
+    return F.array_join(F.transform(F.filter(paragraphs, lambda p: in_text(p, config)), lambda p: p["text"]), "\n")

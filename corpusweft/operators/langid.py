@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.vectorised import typed
+from . import gramcodes
+
 
 def characters(text: Column, n: int = 3) -> Column:
     """Characters of a text whose white space is collapsed, with two blanks before and one after (unigrams: one after)."""
@@ -24,8 +28,9 @@ def grams(texts: DataFrame, keys: list[str], text: str = "text", n: int = 3) ->
 
 
 def model(texts: DataFrame, lang: str = "lang", text: str = "text", n: int = 3) -> DataFrame:
-    """(lang, gram, n): counts; combined on the map side, so only distinct grams are shuffled."""
-    return grams(texts, [lang], text, n).groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("n"))
+    """(lang, gram, n): counts, added up where texts are read, so only distinct grams are shuffled."""
+    counts = gramcodes.partial_counts(texts, lang, text, n).withColumnRenamed("lang", lang) if n <= 3 else grams(texts, [lang], text, n).withColumn("n", F.lit(1))
+    return counts.groupBy(lang, "gram").agg(F.sum("n").alias("n"))
 
 
 def norms(models: DataFrame, lang: str = "lang") -> DataFrame:
@@ -71,8 +76,26 @@ def differences(docs: DataFrame, models: DataFrame, doc_id: str = "doc_id", text
     return dot.select(doc_id, "model_lang", F.round(1 - F.col("dot") / (F.sqrt(F.col("_sq").cast("double")) * F.col("norm")), 6).alias("difference"))
 
 
-def detect(docs: DataFrame, models: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", n: int = 3) -> DataFrame:
-    """(doc_id, detected, difference): the nearest language below difference 1, ties by name; null if none."""
+def nearest_language(text: Column, known: gramcodes.GramModel) -> Column:
+    """Struct (detected, difference) of a text, without a join: the models go along as arrays."""
+    def run(texts: pa.Array) -> pa.Array:
+        found = []
+        for a, b in gramcodes.slices(gramcodes._lengths(texts)):
+            codes, off = gramcodes.coded(texts.slice(a, b - a).to_pylist(), known.n)
+            found += [known.nearest(codes[i:j]) for i, j in zip(off[:-1], off[1:])]
+        return pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([d for _, d in found], pa.float64())], ["detected", "difference"])
+
+    return F.arrow_udf(typed(run, pa.Array), "detected string, difference double")(text)
+
+
+def detect(docs: DataFrame, models: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", n: int = 3, most: int = gramcodes.MODEL_ROWS) -> DataFrame:
+    """(doc_id, detected, difference): the nearest language below difference 1, ties by name; null if none.
+
+    Models of at most ``most`` grams are looked up where texts are read; larger ones are joined.
+    """
+    known = gramcodes.small_model(models, lang, n, most)
+    if known is not None:
+        return docs.select(doc_id, nearest_language(F.col(text), known).alias("_b")).select(doc_id, "_b.detected", "_b.difference")
     best = differences(docs, models, doc_id, text, lang, n).where("difference < 1").groupBy(doc_id).agg(F.min(F.struct("difference", "model_lang")).alias("b"))
     return docs.select(doc_id).join(best, doc_id, "left").select(doc_id, F.col("b.model_lang").alias("detected"), F.col("b.difference").alias("difference"))
 

@@ -47,6 +47,37 @@ def test_language(spark):
     assert langid.model(d.where("doc_id = 1"), n=1).where("gram = 't'").first()["n"] == 3
 
 
+def test_language_by_arrays_and_by_join(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").unionByName(spark.createDataFrame([(-1, None, "en", "a", 0), (-2, " \t\n ", "en", "a", 0), (-3, "x", None, "a", 0), (-4, "a\x00b 😀é", "fr", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long"))
+    m = langid.model(d)
+    want = sorted(map(tuple, langid.grams(d, ["lang"]).groupBy("lang", "gram").count().collect()), key=repr)
+    assert sorted(map(tuple, m.collect()), key=repr) == want
+    one, two = (sorted(map(tuple, langid.detect(d, m, most=most).collect())) for most in (10**6, 0))
+    assert one == two
+
+
+def test_classes_by_sets_and_by_join(spark, sf):
+    from corpusweft.functions import html as H
+
+    p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.lit("en").alias("lang"), H.parsed_page(F.col("html")).alias("p")).select("page_id", "lang", "p.paragraphs")
+    stops = langid.stop_words(spark.read.parquet(f"{sf}/documents.parquet"), 100).select("lang", "word")
+    one, two = (B.classify(p, stops, most=most).orderBy("page_id").collect() for most in (10**6, 0))
+    assert one == two and len(one) == 50
+
+
+def test_extraction_by_arrays_and_by_join(spark, sf, monkeypatch):
+    docs, pages = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/pages.parquet")
+    models, stops = langid.model(docs), langid.stop_words(docs, 100).select("lang", "word")
+    for config in (Config(), Config(lang_diff_paragraph=0.3), Config(keep_bad=True, allow_neargood=False)):
+        one = reprocess.extracted(pages, stops, models, config).orderBy("page_id").collect()
+        with monkeypatch.context() as m:
+            m.setattr(reprocess.gramcodes, "small_model", lambda *a, **k: None)
+            two = reprocess.extracted(pages, stops, models, config).select(*one[0].__fields__).orderBy("page_id").collect()
+        assert [(x[c], y[c]) for x, y in zip(one, two) for c in x.__fields__ if x[c] != y[c]] == []
+    strict = reprocess.extracted(pages, stops, models, Config(lang_diff_paragraph=0.3)).agg(F.sum(F.length("text"))).first()[0]
+    assert 0 < strict < reprocess.extracted(pages, stops, models).agg(F.sum(F.length("text"))).first()[0]
+
+
 def paragraph(text, links=0, path="body.p"):
     return {"text": text, "words": len(text.split()), "link_chars": links, "dom_path": path}
 

@@ -53,6 +53,9 @@ class Config:
     host_interval: float = 20.0
     ip_interval: float = 1.0
     host_queue_cap: int = 200
+    open_at_once: int = 200
+    max_open: int = 4000
+    page_queue: int = 5000
     agent: str = "corpusweft"
     #: (queue longer than, pages of one host to take) from the top
     load_caps: tuple[tuple[int, int], ...] = field(default=((9000, 1), (3000, 3), (1500, 10), (500, 30), (-1, 100)))

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import SMALL, Config
+from . import url as U
 from .url import resolve_link
 from .vectorised import vectorised
 
@@ -124,6 +125,15 @@ def parse_responses(raw: DataFrame, data: str = "response", config: Config = SMA
     return out.withColumn("reason", reason)
 
 
+def redirect_edges(parsed: DataFrame, config: Config = SMALL, **lists) -> tuple[DataFrame, DataFrame]:
+    """(edges, refused) of ``parse_responses``' redirects to other pages, as a frontier takes them: src_scheme,
+    src_host, scheme, host, path, distinct; and redirect URLs with the reason that they aren't followed."""
+    r = parsed.where("reason = 'redirect'").select(F.col("url").alias("src"), "redirect_url")
+    a = U.admit(r, "redirect_url", config, **lists)
+    edges = a.where("reason is null").select(U.scheme_of(F.col("src")).alias("src_scheme"), U.host_of(F.col("src")).alias("src_host"), "scheme", "host", "path").distinct()
+    return edges, a.where("reason is not null").select("redirect_url", "reason")
+
+
 def robots_status(parsed: DataFrame, max_redirects: int = 2) -> DataFrame:
     """FILE, EMPTY or FAIL for each fetched robots file, from ``parse_responses`` and redir_count."""
     remote = F.col("reason").isin("not-200", "no-location", "robots-is-html")

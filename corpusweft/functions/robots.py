@@ -120,3 +120,8 @@ def filter_allowed(paths: DataFrame, robots: DataFrame, agent: str, ignore_faile
     ok = ("FILE", "EMPTY") + (("FAIL",) if ignore_failed else ())
     j = allowed_paths(paths, rules_table(robots.where("status = 'FILE'"), agent, keys), keys)
     return j.join(status, list(keys)).where(F.col("status").isin(*ok) & F.col("allowed")).select(*paths.columns)
+
+
+def stored_body(body: Column, scheme: Column, host: Column) -> Column:
+    """A robots file as it is kept: its text and a last line that names its site."""
+    return F.concat(body, F.lit("\n#"), scheme, F.lit("://"), host, F.lit("\n"))

@@ -20,14 +20,13 @@ def distances(edges: DataFrame, seeds: DataFrame, most: int = 50) -> DataFrame:
     """
     ensure_checkpoints(edges.sparkSession)
     e = edges.select("src", "dst").where("src is not null and dst is not null and src <> dst").distinct().checkpoint()
-    met = seeds.select("node").distinct().withColumn("distance", F.lit(0)).checkpoint()
-    wave = met
+    wave = met = seeds.select("node").distinct().withColumn("distance", F.lit(0)).checkpoint()
     for hop in range(1, most + 1):
         reached = wave.join(e, wave["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
         wave = reached.join(met.select("node"), "node", "left_anti").withColumn("distance", F.lit(hop)).checkpoint()
         if wave.isEmpty():
             break
-        met = met.unionByName(wave).checkpoint()
+        met = met.unionByName(wave)  # waves stay as they were written; none is written again
     return met
 
 
@@ -136,6 +135,28 @@ def alive(queue: DataFrame, dead: DataFrame) -> DataFrame:
     return queue.join(dead.select(*DOMAIN).distinct(), DOMAIN, "left_anti")
 
 
+def rotate_waiting(queue: DataFrame, waiting: DataFrame, dead: DataFrame, order: str = "seq", room: int | None = None, config: Config = SMALL) -> tuple[DataFrame, DataFrame]:
+    """(queue, waiting) after a turn: URLs of dead hosts go, and waiting ones move up where their host's share has
+    room, oldest first and no more than ``room`` in all; the rest waits on."""
+    q, w = alive(queue, dead).withColumn("_late", F.lit(0)), alive(waiting, dead).withColumn("_late", F.lit(1))
+    n = F.row_number().over(W.partitionBy(*DOMAIN).orderBy("_late", order))
+    r = q.unionByName(w).withColumn("_n", n)
+    up = r.where((F.col("_late") == 1) & (F.col("_n") <= config.host_queue_cap + 1)).drop("_late", "_n")
+    full = r.where((F.col("_late") == 1) & (F.col("_n") > config.host_queue_cap + 1)).drop("_late", "_n")
+    if room is not None:
+        up, over = batch_and_rest(up, [order], room)
+        full = full.unionByName(over)
+    return q.drop("_late").unionByName(up), full
+
+
+def paths_by_host(paths: DataFrame, order: str = "seq", most: int = 10_000) -> DataFrame:
+    """(scheme, host, part, paths): a host's paths in order, in lists of at most ``most`` so that no row grows with a host."""
+    r = paths.withColumn("_r", F.row_number().over(W.partitionBy(*DOMAIN).orderBy(order)))
+    part = F.floor((F.col("_r") - 1) / most).cast("int").alias("part")
+    listed = r.groupBy(*DOMAIN, part).agg(F.sort_array(F.collect_list(F.struct("_r", "path"))).alias("_p"))
+    return listed.select(*DOMAIN, "part", F.transform("_p", lambda x: x["path"]).alias("paths"))
+
+
 def resolve_hosts(domains: DataFrame, table: DataFrame, resolver=None) -> DataFrame:
     """Domains with ip from a table (scheme, host, ip), then from an optional resolver of hosts, else NO_HOST."""
     t = keep_first(table.select(*DOMAIN, "ip"), DOMAIN, ["ip"]).withColumnRenamed("ip", "_ip")

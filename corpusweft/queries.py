@@ -12,7 +12,7 @@ from .lineage import ensure_checkpoints, spread
 from .operators import boilerplate, dedup, frontier, langid, stats, windows
 from .plans import reprocess as plan
 from .sources import prevertical, seeds, tables
-from .streaming import crawl
+from .streaming import crawl, politeness
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,15 +135,15 @@ def exact_dedup_keep(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH d AS (SELECT doc_id, md5(lower(left(text, 40))) AS t, md5(left(text, 20)) AS r FROM documents WHERE text <> ''),
+    """WITH d AS (SELECT doc_id, md5(text) AS t, md5(lower(regexp_replace(text, '[ \t\n\r0-9]+', '', 'g'))) AS r FROM documents WHERE text <> ''),
     a AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id) AS n FROM d),
     b AS (SELECT *, min(CASE WHEN n = 1 THEN doc_id END) OVER (PARTITION BY r) AS first_raw FROM a)
     SELECT doc_id, CASE WHEN n > 1 THEN 'duplicate-text' WHEN doc_id > first_raw THEN 'duplicate-raw' ELSE 'kept' END AS status FROM b
     UNION ALL SELECT doc_id, 'no-text' FROM documents WHERE text IS NULL OR text = ''"""
 )
 def two_stage_dedup(spark: SparkSession, d: str) -> DataFrame:
-    docs = read(spark, d, "documents")
-    return dedup.two_stage(docs.select("doc_id", F.lower(F.left("text", F.lit(40))).alias("text"), F.left("text", F.lit(20)).alias("html")))
+    docs = read(spark, d, "documents")  # a second key of the whole text stands for raw content
+    return dedup.two_stage(docs.select("doc_id", "text", F.lower(F.regexp_replace("text", "[ \\t\\n\\r0-9]+", "")).alias("html")))
 
 
 def _sql_grams(table: str, keys: str, n: int = 3) -> str:
@@ -364,22 +364,23 @@ def page_meta_charset(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "pages").select("page_id", T.meta_charset(F.col("html")).alias("charset"))
 
 
-@query(
-    f"""WITH a AS (SELECT url, {sql_scheme('url')} || '://' || {sql_host('url')} AS site, unnest(regexp_extract_all(html, '(?i)<a[^>]*>')) AS tag FROM pages),
+_LINKS = f"""WITH a AS (SELECT url, {sql_scheme('url')} || '://' || {sql_host('url')} AS site, unnest(regexp_extract_all(html, '(?i)<a[^>]*>')) AS tag FROM pages),
     h AS (SELECT url, site, regexp_extract(tag, 'href="([^"#]*)', 1) AS href FROM a WHERE NOT regexp_matches(tag, '(?i)rel=.?nofollow'))
     SELECT DISTINCT url, CASE WHEN regexp_matches(href, '(?i)^https?://') THEN href ELSE site || href END AS link FROM h WHERE regexp_matches(href, '(?i)^(/|https?://)')"""
-)
+
+
+@query(_LINKS)
 def page_links_distinct(spark: SparkSession, d: str) -> DataFrame:
     return H.regex_links(read(spark, d, "pages"))
 
 
-@query("SELECT page_id FROM pages WHERE page_id % 5 <> 0 AND NOT (" + " OR ".join(f"contains(html, '{m}')" for m in T.TRANSLATION_MARKS) + ")")
+@query("SELECT page_id, " + " OR ".join(f"contains(html, '{m}')" for m in T.TRANSLATION_MARKS) + " AS translated FROM (SELECT page_id, html FROM pages UNION ALL SELECT page_id, html || '<!-- qtranslate -->' FROM pages)")
 def mt_marker_filter(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "pages").withColumn("html", F.when(F.col("page_id") % 5 == 0, F.concat("html", F.lit("<!-- qtranslate -->"))).otherwise(F.col("html")))
-    return p.where(~T.is_translated(F.col("html"))).select("page_id")
+    p = read(spark, d, "pages").select("page_id", "html")
+    return p.unionByName(p.withColumn("html", F.concat("html", F.lit("<!-- qtranslate -->")))).select("page_id", T.is_translated(F.col("html")).alias("translated"))
 
 
-@query()
+@query(f"""SELECT url, link, scheme, host, path, {_REASON} AS reason FROM (SELECT *, {sql_scheme('u')} AS scheme, {sql_host('u')} AS host, {sql_path('u')} AS path FROM (SELECT url, link, regexp_replace(link, '\\s+', '', 'g') AS u FROM ({_LINKS})))""")
 def page_links_resolved(spark: SparkSession, d: str) -> DataFrame:
     return H.page_links(read(spark, d, "pages"))
 
@@ -400,8 +401,14 @@ def reprocess_documents(spark: SparkSession, d: str) -> DataFrame:
     return got.documents.select("page_id", "title", "lang", "lang_diff", F.length("text").alias("n_chars"), F.size("paragraphs").alias("n_paragraphs"), "status")
 
 
-@query()
-def http_responses(spark: SparkSession, d: str) -> DataFrame:
+_UP = "regexp_replace(regexp_replace(regexp_extract(path, '^[^?]*'), '[^/]*$', ''), '[^/]+/$', '')"
+_RESPONSES = f"""SELECT page_id, url, CASE k WHEN 1 THEN 302 WHEN 3 THEN 404 ELSE 200 END AS code, CASE WHEN k IN (0, 5) THEN 'html' WHEN k = 2 THEN 'txt' END AS file_type, CASE k WHEN 0 THEN '2019-03-05' END AS modified_date,
+  CASE k WHEN 1 THEN scheme || '://' || host || {_UP} || 'next?x=1' END AS redirect_url, CASE WHEN k IN (1, 3) THEN 0 ELSE octet_length(encode(html)) END::INT AS n_bytes,
+  CASE k WHEN 1 THEN 'redirect' WHEN 3 THEN 'not-200' WHEN 4 THEN 'content-type' END AS reason FROM (SELECT *, page_id % 6 AS k FROM {SQL_PAGES})"""
+
+
+def _responses(spark: SparkSession, d: str) -> DataFrame:
+    """One response of some kind for each page."""
     p = pages(spark, d)
     k = F.col("page_id") % 6
     body = F.col("html")
@@ -415,10 +422,30 @@ def http_responses(spark: SparkSession, d: str) -> DataFrame:
     )
     content = F.when(k == 5, F.concat(F.lower(F.hex(F.octet_length(body))), F.lit("\r\n"), body, F.lit("\r\n0\r\n\r\n"))).otherwise(body)
     raw = p.select("page_id", "url", "path", F.concat(head, F.lit("\r\n\r\n"), content).cast("binary").alias("response"))
-    return http.parse_responses(raw).select("page_id", "code", "file_type", "modified_date", "redirect_url", F.octet_length("body").alias("n_bytes"), "reason")
+    return http.parse_responses(raw)
 
 
-@query()
+@query(f"SELECT page_id, code, file_type, modified_date, redirect_url, n_bytes, reason FROM ({_RESPONSES})")
+def http_responses(spark: SparkSession, d: str) -> DataFrame:
+    return _responses(spark, d).select("page_id", "code", "file_type", "modified_date", "redirect_url", F.octet_length("body").alias("n_bytes"), "reason")
+
+
+@query(
+    f"""WITH r AS (SELECT DISTINCT {sql_scheme('url')} AS src_scheme, {sql_host('url')} AS src_host, {sql_scheme('redirect_url')} AS scheme, {sql_host('redirect_url')} AS host, {sql_path('redirect_url')} AS path FROM ({_RESPONSES}) WHERE reason = 'redirect'),
+    l AS (SELECT DISTINCT {sql_scheme('url')} AS src_scheme, {sql_host('url')} AS src_host, {sql_scheme('link')} AS scheme, {sql_host('link')} AS host, {sql_path('link')} AS path FROM ({_LINKS}))
+    SELECT scheme, host, path, count(*)::BIGINT AS n_sources FROM (SELECT * FROM r UNION SELECT * FROM l) GROUP BY ALL"""
+)
+def redirect_and_link_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Redirects go back to the frontier as edges, beside the links."""
+    followed, _ = http.redirect_edges(_responses(spark, d))
+    links = H.edges(H.page_links(read(spark, d, "pages")))
+    return followed.unionByName(links).distinct().groupBy("scheme", "host", "path").agg(F.count(F.lit(1)).alias("n_sources"))
+
+
+@query(
+    f"""WITH p AS (SELECT page_id, scheme, host, path, min(page_id) OVER (PARTITION BY scheme, host) % 3 AS k FROM {SQL_PAGES})
+    SELECT page_id, scheme, host, path, CASE k WHEN 0 THEN NOT contains(path, '?') WHEN 1 THEN NOT starts_with(path, '/a') AND NOT ends_with(path, '.html') ELSE true END AS allowed FROM p"""
+)
 def robots_decisions(spark: SparkSession, d: str) -> DataFrame:
     p = pages(spark, d)
     body = F.when(F.col("n") % 3 == 0, F.lit("User-agent: *\nDisallow: /*?\nAllow: /\n")).when(F.col("n") % 3 == 1, F.lit("User-agent: corpusweft\nCrawl-delay: 2\nDisallow: /a\nDisallow: /*.html$\n\nUser-agent: *\nDisallow: /")).otherwise(F.lit("User-agent: other\nDisallow: /"))
@@ -449,14 +476,14 @@ def host_path_trim(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH r AS (SELECT page_id, scheme, host, count(*) OVER w AS n, row_number() OVER (PARTITION BY scheme, host ORDER BY length(path), page_id) AS r FROM {SQL_PAGES} WINDOW w AS (PARTITION BY scheme, host)),
-    q AS (SELECT *, n <= 4 OR r <= 3 AS queued FROM r), left_q AS (SELECT * FROM q WHERE queued AND page_id % 3 <> 0),
+    f"""WITH r AS (SELECT page_id, scheme, host, path, count(*) OVER w AS n, row_number() OVER (PARTITION BY scheme, host ORDER BY length(path), page_id) AS r FROM {SQL_PAGES} WINDOW w AS (PARTITION BY scheme, host)),
+    q AS (SELECT *, n <= 4 OR r <= 3 AS queued FROM r), left_q AS (SELECT * FROM q WHERE queued AND NOT contains(path, '?')),
     o AS (SELECT q.page_id, coalesce(h.have, 0) AS have, row_number() OVER (PARTITION BY q.scheme, q.host ORDER BY q.page_id) AS k FROM q LEFT JOIN (SELECT scheme, host, count(*) AS have FROM left_q GROUP BY ALL) h ON q.scheme = h.scheme AND q.host = h.host WHERE NOT queued)
     SELECT page_id, 'queue' AS place FROM left_q UNION ALL SELECT page_id, CASE WHEN have < 2 AND k <= 3 - have THEN 'queue' ELSE 'overflow' END FROM o"""
 )
 def queue_refill(spark: SparkSession, d: str) -> DataFrame:
     queue, over = frontier.trim_paths(pages(spark, d).select("page_id", "scheme", "host", "path"), "page_id", TINY)
-    queue, over = frontier.refill_paths(queue.where("page_id % 3 <> 0"), over, "page_id", TINY)
+    queue, over = frontier.refill_paths(queue.where(~F.contains("path", F.lit("?"))), over, "page_id", TINY)
     return queue.select("page_id", F.lit("queue").alias("place")).unionByName(over.select("page_id", F.lit("overflow").alias("place")))
 
 
@@ -474,11 +501,11 @@ def archive_rolling(spark: SparkSession, d: str) -> DataFrame:
 _HOSTS = f"hosts AS (SELECT page_id, host FROM {SQL_PAGES}), edges AS (SELECT DISTINCT a.host AS src, b.host AS dst FROM hosts a JOIN hosts b ON b.page_id = a.page_id + 1), seed AS (SELECT arg_min(host, page_id) AS node FROM hosts)"
 
 
-@query(f"WITH RECURSIVE {_HOSTS}, w AS (SELECT node, 0 AS d FROM seed UNION SELECT dst, d + 1 FROM w JOIN edges ON src = node WHERE d < 12) SELECT node, min(d)::INT AS distance FROM w GROUP BY node")
+@query(f"WITH RECURSIVE {_HOSTS}, w AS (SELECT node, 0 AS d FROM seed UNION SELECT dst, d + 1 FROM w JOIN edges ON src = node WHERE d < 50) SELECT node, min(d)::INT AS distance FROM w GROUP BY node")
 def link_graph_distance(spark: SparkSession, d: str) -> DataFrame:
     h = pages(spark, d).select("page_id", "host")
     e = h.select("page_id", F.col("host").alias("src")).join(h.select((F.col("page_id") - 1).alias("page_id"), F.col("host").alias("dst")), "page_id")
-    return frontier.distances(e, h.agg(F.min_by("host", "page_id").alias("node")), 12)
+    return frontier.distances(e, h.agg(F.min_by("host", "page_id").alias("node")))
 
 
 _DOMAINS = f"domains AS (SELECT DISTINCT scheme, host, (length(host) % 7)::INT AS distance FROM {SQL_PAGES} WHERE scheme = 'http')"
@@ -505,7 +532,7 @@ def target_distances(spark: SparkSession, d: str) -> DataFrame:
     return frontier.within(frontier.target_distance(e, _domains(p)), Config(max_distance=4))[0]
 
 
-_STATES = f"{_DOMAINS}, s AS (SELECT *, CASE distance % 3 WHEN 0 THEN 'sleeping' WHEN 1 THEN 'bad' ELSE 'ready' END AS status FROM domains), t AS (SELECT scheme, host, min(page_id % 6)::INT AS distance FROM {SQL_PAGES} WHERE page_id % 2 = 0 GROUP BY ALL)"
+_STATES = f"{_DOMAINS}, s AS (SELECT *, CASE distance % 3 WHEN 0 THEN 'sleeping' WHEN 1 THEN 'bad' ELSE 'ready' END AS status FROM domains), t AS (SELECT scheme, host, min(page_id % 6)::INT AS distance FROM {SQL_PAGES} GROUP BY ALL)"
 
 
 @query(
@@ -518,7 +545,7 @@ def domain_upsert(spark: SparkSession, d: str) -> DataFrame:
     p = pages(spark, d)
     k = F.col("distance") % 3
     states = _domains(p).withColumn("status", F.when(k == 0, "sleeping").when(k == 1, "bad").otherwise("ready"))
-    targets = p.where("page_id % 2 = 0").groupBy("scheme", "host").agg(F.min(F.col("page_id") % 6).cast("int").alias("distance"))
+    targets = p.groupBy("scheme", "host").agg(F.min(F.col("page_id") % 6).cast("int").alias("distance"))
     return frontier.upsert(states, targets)
 
 
@@ -568,23 +595,40 @@ def postponed_pages(spark: SparkSession, d: str) -> DataFrame:
     return now.select("page_id", F.lit(True).alias("now")).unionByName(later.select("page_id", F.lit(False).alias("now")))
 
 
-@query(f"SELECT DISTINCT scheme, host, path FROM {SQL_PAGES} WHERE page_id % 2 = 0 OR page_id % 3 = 0")
+@query(f"SELECT scheme, host, path FROM {SQL_PAGES} UNION SELECT {sql_scheme('link')}, {sql_host('link')}, {sql_path('link')} FROM ({_LINKS})")
 def frontier_union_distinct(spark: SparkSession, d: str) -> DataFrame:
-    p = pages(spark, d).select("page_id", "scheme", "host", "path")
-    return p.where("page_id % 2 = 0").unionByName(p.where("page_id % 3 = 0")).select("scheme", "host", "path").distinct()
+    links = H.regex_links(read(spark, d, "pages")).select(U.scheme_of(F.col("link")).alias("scheme"), U.host_of(F.col("link")).alias("host"), U.path_of(F.col("link")).alias("path"))
+    return pages(spark, d).select("scheme", "host", "path").unionByName(links).distinct()
 
 
-@query(f"SELECT page_id FROM {SQL_PAGES} p WHERE NOT EXISTS (SELECT 1 FROM {SQL_PAGES} x WHERE x.page_id % 4 = 0 AND x.scheme = p.scheme AND x.host = p.host)")
+@query(f"SELECT page_id FROM {SQL_PAGES} p WHERE NOT EXISTS (SELECT 1 FROM {SQL_PAGES} x WHERE contains(x.path, '?') AND x.scheme = p.scheme AND x.host = p.host)")
 def dead_host_antijoin(spark: SparkSession, d: str) -> DataFrame:
     p = pages(spark, d)
-    return frontier.alive(p, p.where("page_id % 4 = 0")).select("page_id")
+    return frontier.alive(p, p.where(F.contains("path", F.lit("?")))).select("page_id")
+
+
+@query(
+    f"""WITH p AS (SELECT page_id, scheme, host, path, contains(path, '?') AS late FROM {SQL_PAGES}), dead AS (SELECT DISTINCT scheme, host FROM p WHERE ends_with(path, '/')),
+    a AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM dead WHERE dead.scheme = p.scheme AND dead.host = p.host)), r AS (SELECT *, row_number() OVER (PARTITION BY scheme, host ORDER BY late, page_id) AS n FROM a)
+    SELECT page_id, CASE WHEN NOT late OR n <= 4 THEN 'queue' ELSE 'waiting' END AS place FROM r"""
+)
+def waiting_rotation(spark: SparkSession, d: str) -> DataFrame:
+    p = pages(spark, d).select("page_id", "scheme", "host", "path")
+    late = F.contains("path", F.lit("?"))
+    queue, waiting = frontier.rotate_waiting(p.where(~late), p.where(late), p.where(F.endswith("path", F.lit("/"))), "page_id", config=TINY)
+    return queue.select("page_id", F.lit("queue").alias("place")).unionByName(waiting.select("page_id", F.lit("waiting").alias("place")))
+
+
+@query(f"SELECT scheme, host, part, list(path ORDER BY page_id) AS paths FROM (SELECT *, ((row_number() OVER (PARTITION BY scheme, host ORDER BY page_id) - 1) // 3)::INT AS part FROM {SQL_PAGES}) GROUP BY ALL")
+def paths_by_host(spark: SparkSession, d: str) -> DataFrame:
+    return frontier.paths_by_host(pages(spark, d).select("page_id", "scheme", "host", "path"), "page_id", 3)
 
 
-@query(f"WITH k AS (SELECT scheme, host, {_TAIL.format('path')} AS k, min(path) AS path FROM {SQL_PAGES} GROUP BY ALL) SELECT scheme, host, path FROM k WHERE NOT EXISTS (SELECT 1 FROM {SQL_PAGES} o WHERE o.page_id % 2 = 0 AND o.scheme = k.scheme AND o.host = k.host AND {_TAIL.format('o.path')} = k.k)")
+@query(f"WITH k AS (SELECT scheme, host, {_TAIL.format('path')} AS k, min(path) AS path FROM {SQL_PAGES} GROUP BY ALL) SELECT scheme, host, path FROM k WHERE NOT EXISTS (SELECT 1 FROM {SQL_PAGES} o WHERE contains(o.path, '?') AND o.scheme = k.scheme AND o.host = k.host AND {_TAIL.format('o.path')} = k.k)")
 def new_paths(spark: SparkSession, d: str) -> DataFrame:
     p = pages(spark, d).select("page_id", "scheme", "host", "path")
     none = spark.sql("SELECT '' AS scheme, '' AS host, 0L AS path_key WHERE false")
-    seen = frontier.new_paths(p.where("page_id % 2 = 0"), none).drop("path")
+    seen = frontier.new_paths(p.where(F.contains("path", F.lit("?"))), none).drop("path")
     return frontier.new_paths(p, seen).select("scheme", "host", "path")
 
 
@@ -620,10 +664,35 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema("user_id long, event_type string").parquet(f"{base}/out")
 
 
-@query()
+@query(
+    """WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events),
+    w AS (SELECT event_id, user_id, r, t AS last, true AS accepted FROM e WHERE r = 1
+      UNION ALL SELECT e.event_id, e.user_id, e.r, CASE WHEN e.t - w.last >= 3600000000 THEN e.t ELSE w.last END, e.t - w.last >= 3600000000 FROM w JOIN e ON e.user_id = w.user_id AND e.r = w.r + 1)
+    SELECT event_id, user_id, accepted FROM w"""
+)
 def rate_limit_accept(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select("event_id", "user_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("at"))
-    return crawl.accept_in_order(e, "user_id", ["at", "event_id"], "at", 3600.0).select("event_id", "user_id", "accepted")
+    e = read(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    return crawl.accept_in_order(e, "user_id", ["at", "event_id"], "at", 3_600_000_000).select("event_id", "user_id", "accepted")
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT event_id, 'h' || user_id AS host, user_id // 10 AS ip, epoch_us(ts) // 1000000 AS t, epoch_us(ts) // 600000000 AS turn FROM events),
+    o AS (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY t, event_id) AS r FROM e),
+    w AS (SELECT event_id, ip, r, t AS last, turn AS used, MAP([host], [t]) AS hosts, true AS ok FROM o WHERE r = 1
+      UNION ALL SELECT event_id, ip, r, CASE WHEN ok THEN t ELSE last END, CASE WHEN ok THEN turn ELSE used END, CASE WHEN ok THEN map_concat(hosts, MAP([host], [t])) ELSE hosts END, ok FROM
+        (SELECT o.event_id, o.ip, o.r, o.t, o.turn, o.host, w.last, w.used, w.hosts, coalesce(o.t - w.hosts[o.host] >= 7200, true) AND o.t - w.last >= 120 AND o.turn <> w.used AS ok FROM w JOIN o ON o.ip = w.ip AND o.r = w.r + 1))
+    SELECT event_id, ok AS opened FROM w"""
+)
+def polite_connections(spark: SparkSession, d: str) -> DataFrame:
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    e = read(spark, d, "events").select("event_id", F.concat(F.lit("h"), "user_id").alias("host"), F.floor(F.col("user_id") / 10).cast("long").alias("ip"), F.floor(us / 1_000_000).alias("at"), F.floor(us / 600_000_000).cast("long").alias("turn"))
+    now, later = politeness.polite_connections(e, ["at", "event_id"], batch="turn", config=Config(host_interval=7200.0, ip_interval=120.0))
+    return now.select("event_id", F.lit(True).alias("opened")).unionByName(later.select("event_id", F.lit(False).alias("opened")))
+
+
+@query("SELECT (row_number() OVER () - 1)::INT AS round, size::INT AS size FROM (SELECT unnest(list_concat(list_transform(range(10), lambda i: 1), range(1, 300, 30), [300])) AS size)")
+def cold_start_batches(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(politeness.cold_start(1, 300))), "round int, size int")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

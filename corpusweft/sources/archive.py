@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import gzip
 import io
+import json
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 FIELDS = {"wpage": 9, "arc": 7, "arc-old": 6}
 SCHEMA = "wpage_id long, url string, scheme string, host string, path string, ip string, connect_time string, header binary, body binary"
@@ -80,19 +83,29 @@ class _File(InputPartition):
         self.path = path
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    names: list[str]
+
+
 class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.kind, self.path = options.get("kind", "wpage"), options["path"]
+        self.kind, self.paths = options.get("kind", "wpage"), json.loads(options["list"]) if "list" in options else [options["path"]]
 
     def partitions(self) -> list[InputPartition]:
         """One task a file: records can only be found from a file's start."""
+        return [_File(f) for path in self.paths for f in self._files(path)]
+
+    @staticmethod
+    def _files(path: str) -> list[str]:
         from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
-        info = system.get_file_info(root)
-        files = [f.path for f in system.get_file_info(fs.FileSelector(root, recursive=True)) if f.is_file] if info.type == fs.FileType.Directory else [root]
-        prefix = self.path.split("://", 1)[0] + "://" if "://" in self.path else ""
-        return [_File(prefix + f) for f in sorted(files)]
+        system, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        files = [root]
+        if system.get_file_info(root).type == fs.FileType.Directory:
+            files = [f.path for f in system.get_file_info(fs.FileSelector(root, recursive=True)) if f.is_file and not f.base_name.startswith(("_", "."))]
+        prefix = path.split("://", 1)[0] + "://" if "://" in path else ""
+        return sorted(prefix + f for f in files)
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -113,6 +126,47 @@ class ArchiveReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
+class ArchiveWriter(DataSourceArrowWriter):
+    """Files under a hidden name until their task is committed."""
+
+    def __init__(self, options: dict) -> None:
+        self.kind, self.path, self.most = options.get("kind", "wpage"), options["path"], int(options.get("most", 100 << 30))
+
+    def _fs(self):
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
+        system.create_dir(root, recursive=True)
+        return system, root
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
+        system, root = self._fs()
+        names, out, size = [], None, 0
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if out is None or size >= self.most:
+                    if out is not None:
+                        out.close()
+                    names.append(f"_{uuid.uuid4().hex}")
+                    out, size = system.open_output_stream(f"{root}/{names[-1]}"), 0
+                head = io.BytesIO()
+                write_records(iter([row]), head, self.kind)
+                size += out.write(head.getvalue())
+        if out is not None:
+            out.close()
+        return Written(names)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        system, root = self._fs()
+        for name in (n for m in messages if m for n in m.names):
+            system.move(f"{root}/{name}", f"{root}/part-{name[1:]}")
+
+    def abort(self, messages: list[Written | None]) -> None:
+        system, root = self._fs()
+        for name in (n for m in messages if m for n in m.names):
+            system.delete_file(f"{root}/{name}")
+
+
 class WebArchive(DataSource):
     """spark.read.format("web_archive").option("kind", "arc").load(path)"""
 
@@ -126,14 +180,25 @@ class WebArchive(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return ArchiveReader(dict(self.options))
 
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return ArchiveWriter(dict(self.options))
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(WebArchive)
 
 
-def read(spark: SparkSession, path: str, kind: str = "wpage") -> DataFrame:
+def read(spark: SparkSession, path: str | list[str], kind: str = "wpage") -> DataFrame:
+    """Records of a file, a folder or a list of either."""
     register(spark)
-    return spark.read.format("web_archive").option("kind", kind).load(path)
+    reader = spark.read.format("web_archive").option("kind", kind)
+    return reader.load(path) if isinstance(path, str) else reader.option("list", json.dumps(path)).load()
+
+
+def write_files(pages: DataFrame, path: str, kind: str = "wpage", most_bytes: int = 100 << 30) -> None:
+    """Archive rows as archive files below ``path``, rolled at ``most_bytes``; only files of tasks that ended stay."""
+    register(pages.sparkSession)
+    pages.select(*[f.split()[0] for f in SCHEMA.split(", ")]).write.format("web_archive").option("kind", kind).option("most", most_bytes).mode("append").save(path)
 
 
 def connect_timestamp(column: str = "connect_time"):

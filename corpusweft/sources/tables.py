@@ -59,6 +59,58 @@ def domain_line() -> Column:
     return F.concat_ws(" ", F.concat(c("scheme"), F.lit("://"), c("host")), F.coalesce(c("ip"), F.lit("None")), c("distance").cast("string"), F.when(c("bad"), "BAD").otherwise("OK"), *[c(x).cast("string") for x in ("bytes_downloaded", "bytes_cleaned", "count_downloaded", "count_cleaned")])
 
 
+DOMAIN_RECORD = "scheme string, host string, ip string, distance int, bad boolean, bytes_downloaded long, bytes_cleaned long, count_downloaded long, count_cleaned long, new_paths array<string>, path_keys array<long>"
+
+
+def parse_domain(data: bytes) -> dict | None:
+    """One state record: the header, its new paths by line, and the packed keys of the paths met."""
+    head, _, rest = data.partition(b"\n")
+    f = head.decode("utf-8", "replace").split(" ")
+    try:
+        scheme, host = f[0].split("://", 1)
+        sizes = [int(x) for x in (*f[4:8], *f[-2:])]
+    except (ValueError, IndexError):
+        return None
+    paths, keys = rest[: sizes[4]].decode("utf-8", "replace").split("\n"), rest[sizes[4] + 1 :][: sizes[5] // 8 * 8]
+    return {
+        "scheme": scheme, "host": host, "ip": None if f[1] == "None" else f[1], "distance": int(f[2]), "bad": f[3] == "BAD", "bytes_downloaded": sizes[0], "bytes_cleaned": sizes[1],
+        "count_downloaded": sizes[2], "count_cleaned": sizes[3], "new_paths": [p for p in paths if p], "path_keys": list(struct.unpack(f"<{len(keys) // 8}q", keys)),
+    }
+
+
+def domain_bytes(d: dict) -> bytes:
+    paths, keys = "\n".join(d["new_paths"] or []).encode(), struct.pack(f"<{len(d['path_keys'] or [])}q", *(d["path_keys"] or []))
+    head = [f"{d['scheme']}://{d['host']}", d["ip"], d["distance"], "BAD" if d["bad"] else "OK", *(d[c] for c in ("bytes_downloaded", "bytes_cleaned", "count_downloaded", "count_cleaned")), len(paths), len(keys)]
+    return " ".join(map(str, head)).encode() + b"\n" + paths + b"\n" + keys + b"\n"
+
+
+def domain_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Whole domain states, a file each, with new paths and path keys; files that are none are left out."""
+    files = spark.read.format("binaryFile").load(path).select("content")
+
+    @vectorised(DOMAIN_RECORD)
+    def parsed(content: pd.Series) -> pd.DataFrame:
+        names = [f.split()[0] for f in DOMAIN_RECORD.split(", ")]
+        return pd.DataFrame([parse_domain(bytes(c)) or dict.fromkeys(names) for c in content], columns=names).astype({"distance": "Int32", **{c: "Int64" for c in names[5:9]}})
+
+    return files.select(parsed(F.col("content")).alias("d")).where("d.host is not null").select("d.*")
+
+
+def append_log(rows: DataFrame, path: str, kind: str, batch: int) -> None:
+    """Rows of one kind of log (dns, redirects, robots, urls, ...) and batch; a batch that is written again replaces itself."""
+    rows.write.mode("overwrite").parquet(f"{path}/{kind}/batch={batch}")
+
+
+def read_log(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{kind}")
+
+
+def queue_dump(queue: DataFrame) -> DataFrame:
+    """Lines 'url scheme host path ip' of a queue that is left over, as ``seeds.url_tuples`` reads them."""
+    url = F.concat("scheme", F.lit("://"), "host", "path")
+    return queue.select(F.concat_ws(" ", url, "scheme", "host", "path", F.coalesce("ip", F.lit("None"))).alias("value"))
+
+
 def rejected_log(urls: DataFrame) -> DataFrame:
     """host and reason of refused URLs, tab-separated."""
     return urls.where("reason is not null").select(F.concat_ws("\t", "host", "reason").alias("value"))

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..config import SMALL, Config
 from ..functions.text import content_key
+from .politeness import accept_in_order  # noqa: F401 - the batch twin of ``polite``
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -61,25 +62,13 @@ def polite(requests: DataFrame, key: str, seconds: float) -> DataFrame:
     return r.groupBy("key").transformWithStateInPandas(Politeness(seconds), "key string, id long, at double, accepted boolean", "Append", "ProcessingTime")
 
 
-def accept_in_order(requests: DataFrame, key: str, order: list[str], at: str, seconds: float) -> DataFrame:
-    """Batch twin of ``polite``: requests with ``accepted``, greedy by key."""
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order)
-        last, ok = None, []
-        for t in g[at]:
-            take = last is None or t - last >= seconds
-            ok.append(take)
-            last = t if take else last
-        return g.assign(accepted=ok)
-
-    return requests.groupBy(key).applyInPandas(one, requests.withColumn("accepted", F.lit(True)).schema)
-
-
 class DomainState(StatefulProcessor):
     """new-ip, new-robots, ready, sleeping, bad: the state of one domain from its events.
 
     Events: kind ('ip', 'robots', 'paths', 'page'), value (string) and size (long, for
-    pages: cleaned bytes with size2 downloaded bytes). Emits a row on each change.
+    pages: cleaned bytes with size2 downloaded bytes). Emits a row on each change. Events of
+    a batch come in any order: addresses count before robots files, these before the rest,
+    and a robots verdict that comes batches before its address is kept until then.
     """
 
     def __init__(self, config: Config) -> None:
@@ -87,17 +76,20 @@ class DomainState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("domain", "status string, paths long, downloaded long, cleaned long, docs long")
+        self.state = handle.getValueState("domain", "status string, paths long, downloaded long, cleaned long, docs long, robots string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        status, paths, got, clean, docs = self.state.get() if self.state.exists() else ("new-ip", 0, 0, 0, 0)
+        status, paths, got, clean, docs, robots = self.state.get() if self.state.exists() else ("new-ip", 0, 0, 0, 0, None)
         before = status if self.state.exists() else None
-        for batch in rows:
-            for kind, value, size, size2 in zip(batch["kind"], batch["value"], batch["size"], batch["size2"]):
+        for part in ("ip", "robots", None):  # one batch is held: Spark bounds it
+            rows = list(rows)
+            for kind, value, size, size2 in (e for batch in rows for e in zip(batch["kind"], batch["value"], batch["size"], batch["size2"])):
+                if (kind if kind in ("ip", "robots") else None) != part:
+                    continue
                 if kind == "ip" and status == "new-ip":
                     status = "bad" if value in (None, "NO_HOST") else "new-robots"
-                elif kind == "robots" and status == "new-robots":
-                    status = "ready" if value in ("FILE", "EMPTY") or self.c.ignore_failed_robots else "bad"
+                elif kind == "robots" and robots is None:
+                    robots = value or "FAIL"
                 elif kind == "paths":
                     paths += int(size)
                     status = "ready" if status == "sleeping" else status
@@ -107,7 +99,9 @@ class DomainState(StatefulProcessor):
                     enough = got >= self.c.min_bytes_downloaded and docs >= self.c.min_docs_downloaded
                     if enough and clean / got < self.c.yield_threshold(docs):
                         status = "bad"
-        self.state.update((status, paths, got, clean, docs))
+            if part == "robots" and status == "new-robots" and robots is not None:
+                status = "ready" if robots in ("FILE", "EMPTY") or self.c.ignore_failed_robots else "bad"
+        self.state.update((status, paths, got, clean, docs, robots))
         now = timer_values.getCurrentProcessingTimeInMs()
         wait = self.c.robots_wait_seconds if status == "new-robots" else self.c.max_idle_seconds
         for old in list(self.handle.listTimers()):
@@ -120,10 +114,10 @@ class DomainState(StatefulProcessor):
     def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
         if not self.state.exists():
             return
-        status, paths, got, clean, docs = self.state.get()
+        status, paths, got, clean, docs, robots = self.state.get()
         new = "bad" if status == "new-robots" and not self.c.ignore_failed_robots else "sleeping" if status == "ready" and paths < 1 else status
         if new != status:
-            self.state.update((new, paths, got, clean, docs))
+            self.state.update((new, paths, got, clean, docs, robots))
             yield self._row(key, new, paths)
 
     @staticmethod
@@ -150,3 +144,9 @@ def rounds(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint
     """Run ``step`` on each micro-batch, exactly once by batch id if it writes by that id."""
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{seconds} seconds")).start()
+
+
+def drain(query) -> None:
+    """Graceful end of a streaming query: what has arrived is processed, then it stops."""
+    query.processAllAvailable()
+    query.stop()

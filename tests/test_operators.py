@@ -11,7 +11,7 @@ from corpusweft.config import LARGE, SMALL, Config
 from corpusweft.operators import boilerplate as B, dedup, frontier, langid, stats, windows
 from corpusweft.plans import crawl_round, reprocess
 from corpusweft.sources import archive, prevertical, seeds, tables
-from corpusweft.streaming import crawl
+from corpusweft.streaming import crawl, politeness
 
 
 def rows(df, *order):
@@ -150,6 +150,19 @@ def test_archive(spark, tmp_path, kind, packed):
     assert archive.read(spark, str(tmp_path), kind).select(archive.connect_timestamp()).first()[0].year == 2020
 
 
+def test_archive_lists_and_files(spark, tmp_path):
+    for name, part in (("a", records()[:2]), ("b", records()[2:])):
+        with (tmp_path / name).open("wb") as f:
+            archive.write_records(iter(part), f)
+    both = archive.read(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert both.count() == 4 and archive.read(spark, [str(tmp_path / "b")]).count() == 2
+    for kind in ("wpage", "arc"):
+        out = str(tmp_path / f"out-{kind}")
+        archive.write_files(both.coalesce(1), out, kind, most_bytes=300)
+        got = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in archive.read(spark, out, kind).orderBy("wpage_id").collect()]
+        assert got == records() and len([f for f in (tmp_path / f"out-{kind}").iterdir() if f.name.startswith("part-")]) > 1
+
+
 def test_archive_cut_off():
     out = io.BytesIO()
     archive.write_records(iter(records()), out)
@@ -199,6 +212,61 @@ def test_tables(spark, tmp_path):
     assert rows(k.select(tables.unpack_keys(tables.pack_keys(F.col("k"))))) == rows(k)
 
 
+def test_domain_records(spark, tmp_path):
+    own = {"scheme": "http", "host": "a.org", "ip": "1.2.3.4", "distance": 2, "bad": False, "bytes_downloaded": 10, "bytes_cleaned": 5, "count_downloaded": 2, "count_cleaned": 1, "new_paths": ["/x", "/é?a b"], "path_keys": [1, -2, 10]}
+    none = own | {"host": "b.org", "ip": None, "bad": True, "new_paths": [], "path_keys": []}
+    for i, d in enumerate((own, none)):
+        (tmp_path / str(i)).write_bytes(tables.domain_bytes(d))
+    (tmp_path / "2").write_bytes(b"no record")
+    (tmp_path / "3").write_bytes(b"http://c.org None 7 BAD 0 0 0 0 0 0\n\n\n")
+    got = [r.asDict() for r in tables.domain_records(spark, str(tmp_path)).orderBy("host").collect()]
+    assert got[:2] == [own, none] and (got[2]["host"], got[2]["distance"], got[2]["path_keys"]) == ("c.org", 7, []) and len(got) == 3
+
+
+def test_logs(spark, tmp_path):
+    d = spark.createDataFrame([("http", "a.org", "1.1.1.1")], "scheme string, host string, ip string")
+    for batch in (1, 2, 2):  # a batch that is sent again counts once
+        tables.append_log(d, str(tmp_path), "dns", batch)
+    assert tables.read_log(spark, str(tmp_path), "dns").count() == 2
+    q = d.withColumn("path", F.lit("/p")).unionByName(spark.createDataFrame([("http", "b.org", None, "/robots.txt")], "scheme string, host string, ip string, path string"))
+    tables.queue_dump(q).coalesce(1).write.text(str(tmp_path / "q"))
+    assert rows(seeds.url_tuples(spark, str(tmp_path / "q")), "host") == [("http://a.org/p", "http", "a.org", "/p", "1.1.1.1", False), ("http://b.org/robots.txt", "http", "b.org", "/robots.txt", None, True)]
+
+
+def test_politeness():
+    assert politeness.open_slots(0, 0) == SMALL.open_at_once and politeness.open_slots(SMALL.max_open, 0) == 0 and politeness.open_slots(0, SMALL.page_queue + 1) == 0
+    assert politeness.cold_start(1, 10) == [1] * 10 + list(range(1, 10)) + [10] and politeness.seconds_left(100.0, 30.0, 110.0) == 20 and politeness.seconds_left(100.0, 5.0, 110.0) == 0
+
+
+def test_a_hot_key_in_order(spark):
+    n = 60_000
+    d = spark.range(n).select("id", (F.col("id") % 3 * 0).alias("k"), ((F.col("id") * 7919) % n).cast("double").alias("at")).unionByName(spark.createDataFrame([(-1, None, 5.0)], "id long, k long, at double"))
+    got = politeness.accept_in_order(d, "k", ["at", "id"], "at", 10.0)
+    assert got.columns == ["id", "k", "at", "accepted"] and sorted(r["at"] for r in got.where("accepted and k = 0").collect()) == [float(x) for x in range(0, n, 10)]
+    assert got.where("k is null and accepted").count() == 1
+
+
+def test_polite_connections_keep_all(spark):
+    d = spark.createDataFrame([(1, "a", "x", 0.0, 1), (2, "b", "x", 0.5, 1), (3, "c", "x", 5.0, 1), (4, "a", "x", 6.0, 2), (5, "b", "x", 7.5, 2), (6, "a", "x", 30.0, 3), (7, "z", "y", 0.0, 1), (8, "z", None, 0.0, 1)], "seq int, host string, ip string, at double, turn int")
+    now, later = politeness.polite_connections(d, ["at", "seq"], batch="turn")
+    assert [r["seq"] for r in now.orderBy("seq").collect()] == [1, 5, 6, 7, 8] and [r["seq"] for r in later.orderBy("seq").collect()] == [2, 3, 4]
+
+
+def test_rotation_with_little_room(spark):
+    q = spark.createDataFrame([("http", "a", "/1", 1)], "scheme string, host string, path string, seq int")
+    w = spark.createDataFrame([("http", "a", "/2", 2), ("http", "b", "/3", 3), ("http", "dead", "/4", 4), ("http", "c", "/5", 5)], "scheme string, host string, path string, seq int")
+    queue, waiting = frontier.rotate_waiting(q, w, w.where("host = 'dead'"), room=2)
+    assert sorted(r["seq"] for r in queue.collect()) == [1, 2, 3] and [r["seq"] for r in waiting.collect()] == [5]
+
+
+def test_redirects_are_edges(spark):
+    from corpusweft.functions import http
+
+    p = spark.createDataFrame([("http://a.org/x/y", "http://b.org/z", "redirect"), ("http://a.org/q", "http://b.org/z", "redirect"), ("http://a.org/", "http://c.org/f.zip", "redirect"), ("http://a.org/", None, None)], "url string, redirect_url string, reason string")
+    edges, refused = http.redirect_edges(p)
+    assert rows(edges) == [("http", "a.org", "http", "b.org", "/z")] and rows(refused) == [("http://c.org/f.zip", "path-bad-file-type")]
+
+
 def finish(spark, q, table, n):
     """Stop a query when its table is full: one with timers or expiring state doesn't end by itself."""
     try:
@@ -224,7 +292,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_domain_states(spark, tmp_path):
-    events = [("a", "ip", "1.1.1.1", 0, 0), ("a", "robots", "FILE", 0, 0), ("b", "ip", "NO_HOST", 0, 0), ("c", "ip", "1.1.1.1", 0, 0), ("c", "robots", "FAIL", 0, 0)]
+    events = [("a", "robots", "FILE", 0, 0), ("a", "ip", "1.1.1.1", 0, 0), ("b", "ip", "NO_HOST", 0, 0), ("c", "ip", "1.1.1.1", 0, 0), ("c", "robots", "FAIL", 0, 0)]
     d = spark.createDataFrame([("http", *e) for e in events], "scheme string, host string, kind string, value string, size long, size2 long").coalesce(1)
     d.write.parquet(str(tmp_path / "in"))
     s = crawl.domain_states(spark.readStream.schema(d.schema).parquet(str(tmp_path / "in")), Config())

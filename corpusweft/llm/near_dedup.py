@@ -447,3 +447,14 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     keep = classes(documents).where("doc_id = class_id").select("doc_id").distinct()
     known = documents.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*documents.columns)
     return known.unionByName(documents.where("doc_id is null"))
+
+
+#: DuckDB SQL over the view ``documents`` that gives ``near_duplicates``' rows (doc_ids unique), comparing all pairs that share a shingle
+CLASSES_SQL = r"""
+WITH RECURSIVE t AS (SELECT min(doc_id) AS id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents GROUP BY coalesce(text, '')),
+s AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM t)),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+p AS (SELECT x.id AS a, y.id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.id < y.id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 10 * common >= 8 * (x.n + y.n - common)),
+r AS (SELECT id AS node, id AS root FROM t UNION SELECT e.b, r.root FROM r JOIN (SELECT a, b FROM l UNION ALL SELECT b, a FROM l) e ON e.a = r.node)
+SELECT doc_id, class_id FROM documents JOIN t ON t.text = coalesce(documents.text, '') JOIN (SELECT node, min(root) AS class_id FROM r GROUP BY node) c ON c.node = t.id"""

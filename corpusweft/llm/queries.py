@@ -70,4 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix_sources": mixing.MIX_SQL, "op9_license_scan": license_scan.license_sql(), "word_rollup": token_counts.WORDS_SQL, "base_rules": quality_rules.BASE_SQL}
+    return {"op4_suffix_dedup": suffix_dedup.REPEATS_SQL, "op6_mix_sources": mixing.MIX_SQL, "op8_simhash_dedup": near_dedup.CLASSES_SQL, "op9_license_scan": license_scan.license_sql(), "word_rollup": token_counts.WORDS_SQL, "base_rules": quality_rules.BASE_SQL}

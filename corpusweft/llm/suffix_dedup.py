@@ -487,3 +487,16 @@ def brute_force(rows: list[tuple[int, bytes]], length: int = LENGTH) -> list[tup
         out.append((doc, len(b), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
     return out
 
+
+#: DuckDB SQL over the view ``documents`` that gives ``suffix_dedup``'s rows (doc_ids not null), byte by byte in hexadecimal
+REPEATS_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT rid, doc_id, i, substring(h, 2 * i + 1, 100) AS s FROM (SELECT rid, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS least FROM g GROUP BY s),
+hit AS (SELECT rid, i FROM g JOIN f USING (s) WHERE doc_id > least),
+marked AS (SELECT rid, i, coalesce((i - lag(i) OVER (PARTITION BY rid ORDER BY i) > 50)::INT, 1) AS fresh FROM hit),
+spans AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS island FROM marked) GROUP BY rid, island),
+cut AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT rid, count(*) AS n, sum(b - a) AS gone, max(b) AS last, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS k FROM cut JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN n IS NULL THEN h ELSE k || substring(h, 2 * last + 1) END)) AS kept_sha256 FROM d LEFT JOIN kept USING (rid)"""

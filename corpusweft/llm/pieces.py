@@ -39,7 +39,7 @@ from .shared import free_name, written
 from .textops import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-GIANT, CHUNK, FAN = 16_384, 8_192, 64
+GIANT, CHUNK, FAN = 32_768, 32_768, 64
 HOT_UNITS = 200_000
 MARK = "▁"
 BAD = -np.inf

@@ -18,38 +18,47 @@ def rooted(parent: DataFrame) -> DataFrame:
     """(node, p) with p the root, of a written table (node, p) in which every p is a node too."""
     while True:
         up = parent.select(F.col("node").alias("p"), F.col("p").alias("pp"))
-        step = parent.join(up, "p").select("node", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
-        nxt = written(step, "parents")
-        forget(parent)
-        parent = nxt.select("node", "p")
-        if nxt.where("moved").isEmpty():
+        if parent.join(up, "p").where("p <> pp").isEmpty():
             return parent
+        twice = parent.join(up, "p").select("node", F.col("pp").alias("p"))
+        nxt = written(twice.join(up, "p").select("node", F.col("pp").alias("p")), "parents")  # three steps up at once
+        forget(parent)
+        parent = nxt
 
 
 def components(links: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     """(node, component) of every node that has a link in (a, b); component: its smallest node.
 
+    A round writes one table of parents, and one of the links that are left, if any are.
     ``rounds``, if given, gets the number of rounds.
     """
     edges = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    labels, n = None, 0
-    while not edges.isEmpty():
+    if edges.isEmpty():
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    labels, n, parents, more = None, 0, [], True
+    while more:
         n += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = rooted(written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("p")), "parents"))
+        parents.append(parent)
         if labels is None:
-            new = parent.select("node", F.col("p").alias("component"))
+            labels = parent.select("node", F.col("p").alias("component"))
         else:
             moved = parent.select(F.col("node").alias("component"), F.col("p").alias("up"))
-            new = labels.join(moved, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
-        new = written(new, "labels")
+            labels = labels.join(moved, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
         pa = parent.select(F.col("node").alias("a"), F.col("p").alias("pa"))
         pb = parent.select(F.col("node").alias("b"), F.col("p").alias("pb"))
-        j = edges.join(pa, "a").join(pb, "b").where("pa <> pb")
-        nxt = written(j.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
-        for old in [edges, parent] + ([labels] if labels is not None else []):
-            forget(old)
-        edges, labels = nxt, new
+        left = edges.join(pa, "a").join(pb, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+        more = not left.isEmpty()
+        if more:
+            nxt = written(left.distinct(), "links")
+            forget(edges)
+            edges = nxt
+    if len(parents) > 1:
+        labels = written(labels, "labels")
+        for parent in parents:
+            forget(parent)
+    forget(edges)
     if rounds is not None:
         rounds.append(n)
-    return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return labels

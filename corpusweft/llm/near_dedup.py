@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .shared import forget, written
+from .shared import written
 from .textops import grams, mix, slices, word_hashes, words
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -141,9 +141,10 @@ def bucketed(reps: DataFrame, most: int = SPLIT) -> DataFrame:
 
     schema = "bucket long, id long, sketch binary"
     all_rows = reps.mapInArrow(run, schema)
-    large = written(all_rows.groupBy("bucket").count().where(F.col("count") > most).select("bucket"), "large")
+    large = all_rows.groupBy("bucket").count().where(F.col("count") > most).select("bucket")
     if large.isEmpty():
         return all_rows
+    large = written(large, "large")
     return all_rows.join(large, "bucket", "left_anti").unionByName(all_rows.join(large, "bucket", "left_semi").mapInArrow(split, schema))
 
 
@@ -415,10 +416,9 @@ def classes(documents: DataFrame) -> DataFrame:
     docs = written(sketches(documents), "sketches")
     by_text = written(docs.groupBy("text_key").agg(F.min("doc_id").alias("id"), F.min(F.struct("sketch")).alias("s")).select("text_key", "id", "s.sketch"), "texts")
     by_sketch = by_text.groupBy("sketch").agg(F.min("id").alias("lead"))
-    same = written(by_text.join(by_sketch, "sketch").select("id", "lead"), "same")
+    same = by_text.join(by_sketch, "sketch").select("id", "lead")
     reps = written(by_sketch.select(F.col("lead").alias("id"), "sketch"), "reps")
-    links = written(loose_links(bucketed(reps)).distinct(), "loose")
-    family = components(links.unionByName(same.where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b"))))
+    family = components(loose_links(bucketed(reps)).unionByName(same.where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b"))))
     # one row of each text: by both keys, as one text may have a third of all rows
     one = by_text.select("text_key", F.col("id").alias("doc_id"))
     own = lambda rows: rows.join(one, ["text_key", "doc_id"]).dropDuplicates(["text_key", "doc_id"]).withColumnRenamed("doc_id", "id")
@@ -430,7 +430,6 @@ def classes(documents: DataFrame) -> DataFrame:
     if not unsure.isEmpty():
         sure = sure.unionByName(exact_links(unsure, documents, members))
     joined = components(sure)
-    forget(links)
     text_class = by_text.join(joined.withColumnRenamed("node", "id"), "id", "left").select("text_key", F.coalesce("component", "id").alias("class_id"))
     return docs.select("doc_id", "text_key").join(text_class, "text_key")
 

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .shared import written
-from .textops import grams, mix, slices, word_hashes, words
+from .textops import grams, mix, slices, tidy, word_hashes, words
 
 SHINGLE, SIMILAR = 5, 0.8
 BITS, SAMPLE = 256, 1024
@@ -168,6 +168,8 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             held.append(batch)
     if held:
         yield pa.Table.from_batches(held)
+    del held
+    tidy()
 
 
 class Forest:

@@ -41,12 +41,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .shared import free_name, free_shuffles, new_path
-from .textops import mix, raw, slices
+from .textops import mix, raw, slices, tidy
 
 LENGTH, K = 50, 16
 PASSES = 4
 FLUSH_BYTES = 8 << 20
-BUCKET_BYTES, MOST_PARTITIONS = 20 << 20, 50_000  # beyond, a partition holds several buckets, one at a time
+BUCKET_BYTES, MOST_PARTITIONS = 12 << 20, 50_000  # beyond, a partition holds several buckets, one at a time
 HELD_BYTES = 64 << 20
 BLOCK_BYTES = 1 << 17  # of text at a time: its arrays stay in a core's cache
 COVER, STEP = (0, 1, 3), 7
@@ -386,6 +386,8 @@ def spans_of(documents: DataFrame, passes: int = PASSES, held_bytes: int = HELD_
                         for strings in strings_of(g):
                             yield from out(0, [*strings.T, strings[:, 4] + LENGTH])
             yield from done()
+            held, spans = [], []
+            tidy()
 
         sent = d.mapInArrow(send, "part long, bucket long, kind int, data binary").repartition(parts, "part").sortWithinPartitions("part", "bucket")
         sent.mapInArrow(sort, "kind int, one long, two long, doc_id long, row long, start long, end long").write.mode("append").partitionBy("kind").parquet(path)

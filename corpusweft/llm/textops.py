@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,22 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    tidy()
+
+
+@functools.lru_cache(maxsize=1)
+def _libc():
+    try:
+        return ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
+    except (OSError, TypeError):
+        return None
+
+
+def tidy() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task keeps none of the last one's."""
+    pa.default_memory_pool().release_unused()
+    if (libc := _libc()) is not None:
+        libc.malloc_trim(0)
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -40,8 +40,8 @@ from .textops import mix
 
 NEIGHBOURS, QUERY_MODULUS = 20, 20
 FACTORS, RECALL, TRIED = (1.0, 1.2, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0), 0.98, 200
-SAMPLE_ROWS, SAMPLE_BYTES, SHARD_BYTES, LEAF = 20_000, 32 << 20, 20 << 20, 128
-QUERY_BLOCK = 512
+SAMPLE_ROWS, SAMPLE_BYTES, SHARD_BYTES, LEAF = 20_000, 32 << 20, 20 << 20, 256
+QUERY_BLOCK = 4096
 ROUNDING = 1e-9  # of the largest squared distance
 
 
@@ -116,10 +116,16 @@ class Tree:
             far = bound[who] ** 2
             if len(n) > k:
                 far = np.minimum(far, np.partition(d2, k - 1, axis=1)[:, k - 1])
-            i, j = np.nonzero(d2 <= (far + 2 * slack2)[:, None])
-            s = np.zeros(len(i))
-            for c in range(q.shape[1] - 1):  # in order of the coordinates, so that equal vectors score alike
-                s = s + q[who[i], c] * self.x[n[j], c]
+            near = d2 <= (far + 2 * slack2)[:, None]
+            some = near.any(axis=1)
+            if not some.any():
+                return
+            who, near = who[some], near[some]
+            i, j = np.nonzero(near)
+            s = np.empty(len(i))
+            for a in range(0, len(i), 16_384):  # in order of the coordinates, so that equal vectors score alike
+                z = slice(a, a + 16_384)
+                s[z] = np.cumsum(q[who[i[z]], :-1] * self.x[n[j[z]], :-1], axis=1)[:, -1]
             row = np.concatenate([np.repeat(np.arange(len(who)), k), i])
             value, name = np.concatenate([score[who].ravel(), s]), np.concatenate([best[who].ravel(), ids[n[j]]])
             order = np.lexsort((name, -value, row))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .shared import written
-from .textops import grams, mix, slices, tidy, word_hashes, words
+from .textops import M1, grams, mix, raw, slices, tidy, words
 
 SHINGLE, SIMILAR = 5, 0.8
 BITS, SAMPLE = 256, 1024
@@ -52,6 +52,7 @@ TABLES, SAMPLED = 40, 12
 CAP, EXTRA, WAYS, LEVELS, SPLIT = 1024, 8, 20, 4, 500_000
 LOOSE, BLOCK, SHORT, LOOSE_SHORT = 58, 8192, 30, 96
 CLEAR, TASK_PAIRS, PART = 0.06, 128, 2048
+LONG_WORD, FEW, CELLS = 128, 96, 1 << 15  # CELLS: pairs at a time, whose arrays stay in a core's cache
 
 _RNG = np.random.default_rng(20240229)
 #: coordinates of each table, and of each way to cut a bucket further
@@ -61,18 +62,38 @@ _SEEDS = [np.uint64(x) for x in _RNG.integers(1, 2**63, BITS // 64)]
 _LANES = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
 
+def _short_hashes(values: pa.Array) -> np.ndarray:
+    """64-bit hash of each word, eight bytes of all words at a time; a long word has the library's."""
+    b, off = raw(values)
+    start, size = off[:-1], np.diff(off)
+    chunks = np.ndarray((len(b) + 1,), "<u8", np.concatenate([b, np.zeros(8, np.uint8)]).data, 0, (1,))
+    h = mix(size.astype(np.uint64) * M1)
+    at = np.flatnonzero(size <= LONG_WORD)
+    for done in range(0, LONG_WORD, 8):
+        at = at[size[at] > done]
+        if not len(at):
+            break
+        unused = np.maximum(0, 8 - (size[at] - done)).astype(np.uint64) << np.uint64(3)
+        h[at] = mix((h[at] ^ (chunks[start[at] + done] << unused)) * M1)
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        h[k] = xxhash.xxh64_intdigest(b[off[k] : off[k + 1]].tobytes())
+    return h
+
+
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and n + 1 offsets."""
     values, off = words(texts)
-    h = word_hashes(values)
+    h = _short_hashes(values)
     g, row, _ = grams(h, off, SHINGLE)
     size = np.diff(off)
     few = np.flatnonzero((size > 0) & (size < SHINGLE))
     if len(few):
-        g = np.concatenate([g, np.array([np.uint64(xxhash.xxh64_intdigest(h[off[i] : off[i + 1]].tobytes())) for i in few], np.uint64)])
-        row = np.concatenate([row, few])
-    order = np.lexsort((g, row))
-    g, row = g[order], row[order]
+        place = np.searchsorted(row, few)
+        g = np.insert(g, place, np.array([np.uint64(xxhash.xxh64_intdigest(h[off[i] : off[i + 1]].tobytes())) for i in few], np.uint64))
+        row = np.insert(row, place, few)
+    cuts = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        g[a:b].sort()
     fresh = np.ones(len(g), bool)
     fresh[1:] = (g[1:] != g[:-1]) | (row[1:] != row[:-1])
     g, row = g[fresh], row[fresh]
@@ -90,7 +111,14 @@ def simhash(g: np.ndarray, off: np.ndarray) -> np.ndarray:
     if len(g):
         bits = np.stack([mix(g ^ s) for s in _SEEDS], axis=1).view(np.uint8)
         runs = np.concatenate([np.arange(a, b, 255) for a, b in zip(off[:-1], off[1:]) if b > a])
-        lanes = np.add.reduceat(_LANES[bits], runs, axis=0).view(np.uint8)
+        lanes = np.empty((len(runs), BITS // 8), np.uint64)
+        ends, first = np.r_[runs[1:], len(g)], 0
+        while first < len(runs):  # some runs at a time, whose lanes stay in a core's cache
+            stop = max(first + 1, int(np.searchsorted(ends, runs[first] + 2048, side="right")))
+            a, b = runs[first], ends[stop - 1]
+            lanes[first:stop] = np.add.reduceat(_LANES[bits[a:b]], runs[first:stop] - a, axis=0)
+            first = stop
+        lanes = lanes.view(np.uint8)
         owner = np.searchsorted(off, runs, side="right") - 1
         first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         counts[owner[first]] = np.add.reduceat(lanes, first, axis=0, dtype=np.int32)
@@ -202,10 +230,9 @@ class Forest:
 
 
 def _hamming(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    d = np.bitwise_count(x[..., 0] ^ y[..., 0]).astype(np.uint16)
-    for w in range(1, BITS // 64):
-        d += np.bitwise_count(x[..., w] ^ y[..., w])
-    return d
+    """Distances of the sketches in the rows of x and y."""
+    d = np.bitwise_count(x ^ y)
+    return d[:, 0].astype(np.uint16) + d[:, 1] + d[:, 2] + d[:, 3]
 
 
 class Linker:
@@ -217,6 +244,10 @@ class Linker:
     def __init__(self, sketch: np.ndarray, limit: int, check: Callable[[int, int], bool] | None = None, split: bool = True) -> None:
         self.sketch, self.limit, self.check, self.split = sketch, limit, check, split
         self.forest, self.a, self.b = Forest(len(sketch)), [], []
+        self.columns = np.ascontiguousarray(sketch.T)
+
+    def _distances(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return _hamming(self.sketch.take(x, axis=0), self.sketch.take(y, axis=0))
 
     def _try(self, x: np.ndarray, y: np.ndarray, d: np.ndarray) -> None:
         """Join pairs by rising distance; after some, those that are connected meanwhile fall out."""
@@ -236,9 +267,9 @@ class Linker:
         ends, at, lag = np.searchsorted(key, key, side="right"), np.arange(len(key)), 1
         while len(at):
             at = at[at + lag < ends[at]]
-            for part in np.array_split(at, len(at) // 200_000 + 1):
+            for part in np.array_split(at, len(at) // CELLS + 1):
                 x, y = rows[part], rows[part + lag]
-                d = _hamming(self.sketch[x], self.sketch[y])
+                d = self._distances(x, y)
                 near = d <= self.limit
                 if near.any():
                     self._try(x[near], y[near], d[near])
@@ -246,16 +277,26 @@ class Linker:
 
     def _against(self, some: np.ndarray, others: np.ndarray, above: bool = False) -> None:
         """Pairs of some and others; ``above``: others begin with some, each pair once."""
-        step = max(1, 1_000_000 // max(1, len(others)))
+        step = max(1, CELLS // max(1, len(others)))
+        across, down = self.columns[:, others], self.columns[:, some]
         for s in range(0, len(some), step):
-            x, y = some[s : s + step], others[s + 1 :] if above else others
-            d = _hamming(self.sketch[x][:, None], self.sketch[y][None])
-            near = (d <= self.limit) & (self.forest.roots(x)[:, None] != self.forest.roots(y)[None])
+            x, y, from_ = some[s : s + step], others, 0
+            if above:
+                y, from_ = others[s + 1 :], s + 1
+            d = np.bitwise_count(down[0, s : s + step, None] ^ across[0, from_:])
+            for w in range(1, BITS // 64):
+                d += np.bitwise_count(down[w, s : s + step, None] ^ across[w, from_:])
+            near = np.flatnonzero(d <= self.limit)  # BITS differences count as none here
+            if not len(near):
+                continue
+            i, j = np.divmod(near, len(y))
             if above:
-                near &= np.arange(len(y))[None] >= np.arange(len(x))[:, None]
-            i, j = np.nonzero(near)
-            if len(i):
-                self._try(x[i], y[j], d[i, j])
+                i, j = i[j >= i], j[j >= i]
+            i, j = x[i], y[j]
+            apart = self.forest.roots(i) != self.forest.roots(j)
+            i, j = i[apart], j[apart]
+            d = self._distances(i, j)
+            self._try(i[d <= self.limit], j[d <= self.limit], d[d <= self.limit])
 
     def _loose(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows outside the largest part of a run, and that part's."""
@@ -277,18 +318,20 @@ class Linker:
         for w in range(WAYS):
             code = np.packbits(bits[:, CUTS[level, w]], axis=1)[:, 0]
             order = np.argsort(code, kind="stable")
-            for part in np.split(rows[order], np.flatnonzero(np.diff(code[order])) + 1):
-                if len(part) > 1:
-                    self.run(part, level + 1)
+            self._parts(rows[order], code[order], level + 1)
 
-    def runs(self, key: np.ndarray, few: int = 48) -> None:
-        """All runs of an ascending key."""
+    def _parts(self, rows: np.ndarray, key: np.ndarray, level: int, few: int = FEW) -> None:
+        """All runs of an ascending key: the short ones at once, by their lag, each other one by itself."""
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[starts, len(key)])
         small = np.flatnonzero(np.repeat(size <= few, size))
-        self.small(small, key[small])
+        self.small(rows[small], key[small])
         for s, n in zip(starts[size > few].tolist(), size[size > few].tolist()):
-            self.run(np.arange(s, s + n))
+            self.run(rows[s : s + n], level)
+
+    def runs(self, key: np.ndarray, few: int = FEW) -> None:
+        """All runs of an ascending key."""
+        self._parts(np.arange(len(key)), key, 1, few)
 
 
 def _sketches(t: pa.Table) -> np.ndarray:

@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 SLICE_BYTES = 1 << 20
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -87,13 +86,6 @@ def word_codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return d.indices.to_numpy(zero_copy_only=False), d.dictionary
 
 
-def word_hashes(values: pa.Array) -> np.ndarray:
-    """64-bit hash of each word, equal for equal words in any batch."""
-    codes, names = word_codes(values)
-    h = np.fromiter((xxhash.xxh64_intdigest(w) for w in names.to_pylist()), np.uint64, len(names))
-    return h[codes] if len(codes) else np.zeros(0, np.uint64)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * M2
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)

@@ -420,6 +420,28 @@ def test_split_buckets_keep_pairs():
         assert np.mean([link.forest.root(int(at[k])) == link.forest.root(int(at[k + 1])) for k in range(0, 600, 2)]) >= 0.98
 
 
+def test_cut_buckets_compare_short_runs_at_once():
+    calls = []
+
+    class Counted(near_dedup.Linker):
+        def run(self, rows, level=1):
+            calls.append(len(rows))
+            super().run(rows, level)
+
+    sketch = np.random.default_rng(6).integers(0, 2**63, (2 * 1500, near_dedup.BITS // 64), dtype=np.uint64)
+    sketch[7], sketch[1600] = sketch[3] ^ np.uint64(255), sketch[1550]
+    link = Counted(sketch, near_dedup.LOOSE)
+    link.runs(np.repeat([0, 1], 1500))
+    assert sorted(zip(link.a, link.b)) == [(3, 7), (1550, 1600)]
+    assert len(calls) < 20  # one call for each cut run of two or more rows: about 10,000 a bucket
+
+
+def test_word_hashes_tell_words_apart():
+    words = ["", "a", "a\0", "\0a", "a" * 8, "a" * 8 + "\0", "a" * 128, "a" * 129, "a" * 130, "é", "b" * 9, "c" + "b" * 8]
+    h = near_dedup._short_hashes(pa.array(["x", *words, *words]))[1:]
+    assert len(set(h.tolist())) == len(words) and (h[: len(words)] == h[len(words) :]).all()
+
+
 def test_large_buckets_are_cut_before_the_shuffle(spark):
     rng = np.random.default_rng(2)
     rows = [(i, bytearray(rng.bytes(near_dedup.BITS // 8))) for i in range(300)] + [(300 + i, bytearray(b"\x01" * 32)) for i in range(5)]

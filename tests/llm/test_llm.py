@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusweft.llm import components, license_scan, lm_score, mixing, near_dedup, pieces, quality_model, quality_rules, suffix_dedup, token_counts, vp_search
 from corpusweft.llm.docstats import doc_stats
 from corpusweft.llm.shared import new_path
+from corpusweft.llm.textops import raw
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra string"
 ODD = [(1, None, None, None, None, "x"), (2, "", "en", "a", 0, None), (3, "one", "en", "a", 3, "x"), (3, "one", "en", "a", 3, "x"), (None, "null id here", "en", None, 12, "x"), (4, "é€😀 \t\r\n z", "fr", "b", 9, "x"), (5, "long word " * 30_000, "en", "a", 300_000, "x"), (6, "x" * 200_000, "en", "a", 200_000, "x")]
@@ -207,6 +208,22 @@ def test_suffix_keeps_unique_text_of_a_shared_id(spark):
     assert sorted(r["text"] for r in suffix_dedup.deduplicated(d).collect()) == ["", repeat, unique]
 
 
+def test_suffix_sorts_only_what_can_match(spark, monkeypatch):
+    rng, letters = random.Random(9), "abcdefghijklmnopqrstuvwxyz"
+    words = lambda n: " ".join("".join(rng.choices(letters, k=7)) for _ in range(n))
+    common, copied = [words(3) for _ in range(10)], words(12)
+    rows = [(i, " ".join(f"{words(3)} {x}" for x in common * 3)) for i in range(40)] + [(50 + i, f"{words(9)} {copied} {words(9)}") for i in range(3)]
+    b, off = raw(pa.array([t for _, t in rows]))
+    ids = np.array([i for i, _ in rows])
+    r, sorted_rows, plain = suffix_dedup.records(ids, ids, b, off, 0, 1), [], suffix_dedup.sorted_bucket
+    monkeypatch.setattr(suffix_dedup, "sorted_bucket", lambda x: sorted_rows.append(len(x)) or plain(x))
+    spans = suffix_dedup.bucket_spans(r)
+    assert set(spans["doc"].tolist()) == {51, 52} and 5 * sum(sorted_rows) < len(suffix_dedup._shared(r))
+    monkeypatch.undo()
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(suffix_dedup.brute_force([(i, t.encode()) for i, t in rows]))
+
+
 def test_lm(spark, docs, odd, empty):
     bench = docs.where("doc_id % 7 = 0")
     r = {x["doc_id"]: x for x in lm_score.cross_entropy_difference(docs, bench).collect()}
@@ -433,7 +450,7 @@ def test_cut_buckets_compare_short_runs_at_once():
     link = Counted(sketch, near_dedup.LOOSE)
     link.runs(np.repeat([0, 1], 1500))
     assert sorted(zip(link.a, link.b)) == [(3, 7), (1550, 1600)]
-    assert len(calls) < 20  # one call for each cut run of two or more rows: about 10,000 a bucket
+    assert len(calls) < 20  # one call for each cut run of two or more rows: up to 5,120 a bucket
 
 
 def test_word_hashes_tell_words_apart():

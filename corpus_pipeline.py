@@ -44,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.decode(pieces.encode(docs, keep=("source", "lang")), keep=("source", "lang", "ids"))
+    return pieces.encode(docs, keep=("source", "lang"), decoded="text")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -105,12 +105,13 @@ def mixed(documents: DataFrame) -> DataFrame:
     """The documents of the mix with all their columns, a document taken twice as two rows.
 
     Rows are written with a number of their own, so that each, equal ones too, has its own
-    decision and no join is on a key that many share.
+    decision and no join is on a key that many share; their sizes are written beside them, so
+    that texts are read once for both.
     """
     columns = documents.columns
-    rid, copy = free_name(columns, "_rid"), free_name(columns, "_copy")
-    marked = written(documents.withColumn(rid, F.monotonically_increasing_id()), "marked")
-    sizes = written(marked.select(F.col(rid).alias("rid"), "doc_id", "source", size_of().alias("size"), shuffle_key().alias("shuffle")), "sizes")
+    rid, copy, size, shuffle = (free_name(columns, c) for c in ("_rid", "_copy", "_size", "_shuffle"))
+    marked = written(documents.withColumns({rid: F.monotonically_increasing_id(), size: size_of(), shuffle: shuffle_key()}), "marked")
+    sizes = marked.select(F.col(rid).alias("rid"), "doc_id", "source", F.col(size).alias("size"), F.col(shuffle).alias("shuffle"))
     times = mix_sizes(sizes).where("copies > 0").select(F.col("rid").alias(rid), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy))
     return marked.join(times, rid).select(*[F.col(f"`{c}`") for c in columns])
 

@@ -14,7 +14,8 @@ encode to themselves, so a step weighs 0 if the two pieces do and -inf if not; t
 scan then finds the library's result exactly. Pieces never hold a space mark behind
 another character, so every path passes through the starts of words; between the first
 and the last start of a word in a chunk the library's encoding of single words is used,
-each distinct word of a slice once.
+each distinct word of a slice once, and each distinct text of a slice once, as a mix
+has many twice.
 
 Defined results: a null text encodes as an empty one, to no pieces; a text that holds the
 space mark U+2581 itself decodes with spaces in its place; repeated rows give repeated
@@ -36,11 +37,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .shared import free_name, written
-from .textops import slices
+from .textops import raw, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT, CHUNK, FAN = 32_768, 32_768, 64
 HOT_UNITS = 200_000
+DECODED = 1 << 18
 MARK = "▁"
 BAD = -np.inf
 
@@ -88,23 +90,75 @@ class Pieces:
         """Pieces of single units: what follows a line feed has no prefix."""
         return [x[2:] for x in self.lib.encode(["\n" + u.replace(MARK, " ") for u in units], num_threads=1)] if self.prefix else self.lib.encode([u.replace(MARK, " ") for u in units], num_threads=1)
 
+    def _flat(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of pieces, and all pieces, of units with spaces for space marks, as ``of`` has them."""
+        got = self.lib.encode(["\n" + u for u in units] if self.prefix else units, num_threads=1) if units else []
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        ids = np.fromiter(itertools.chain.from_iterable(got), np.int32, int(size.sum()))
+        if not self.prefix or not len(got):
+            return size, ids
+        own = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size) >= 2  # not the prefix and the line feed
+        return np.maximum(size - 2, 0), ids[own]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All pieces of normal texts that start and end between pieces, and n + 1 offsets."""
-        split = [self.units.findall(t) for t in texts]
-        ends = np.concatenate([[0], np.cumsum([len(s) for s in split])])
-        hot, base, new = self.hot, len(self.hot), {}
-        codes = np.fromiter((hot[u] if u in hot else new.setdefault(u, base + len(new)) for s in split for u in s), np.int64, ends[-1])
-        got = self.of(list(new)) if new else []
-        size = np.concatenate([self.hot_size, np.fromiter(map(len, got), np.int64, len(got))])
-        table = np.concatenate([self.hot_ids, np.fromiter(itertools.chain.from_iterable(got), np.int32)])
+        return self._encode(pa.array([t.replace(MARK, " ") for t in texts], pa.string()))
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All pieces of texts as they stand in a table, none of them null, and n + 1 offsets; equal texts are encoded once."""
+        d = pc.dictionary_encode(texts)
+        ids, off = self._encode(self.spaced(d.dictionary))
+        if len(d.dictionary) == len(texts):
+            return ids, off
+        which = d.indices.to_numpy()
+        return gather(ids, off, which), np.concatenate([[0], np.cumsum(np.diff(off)[which])])
+
+    def spaced(self, texts: pa.Array) -> pa.Array:
+        """Normal texts, but with spaces for space marks."""
+        texts = pc.replace_substring(texts, MARK, " ")
+        if not self.prefix:
+            return texts
+        return pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(" ", texts, ""))
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        b, off = raw(texts)
+        if not len(b):
+            return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
+        at = unit_starts(b, off)
+        d = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(b)).astype(np.int32)), pa.py_buffer(b)).dictionary_encode()
+        units, hot, base = d.dictionary.to_numpy(zero_copy_only=False), self.hot, len(self.hot)
+        codes = np.fromiter(map(hot.get, units, itertools.repeat(-1)), np.int64, len(units))
+        fresh = np.flatnonzero(codes < 0)
+        codes[fresh] = base + np.arange(len(fresh))
+        new = units[fresh].tolist()
+        own, got = self._flat(new)
+        size, table = np.concatenate([self.hot_size, own]), np.concatenate([self.hot_ids, got])
         if base < HOT_UNITS:
-            self.hot.update(new)
+            hot.update(zip(new, codes[fresh].tolist()))
             self.hot_size, self.hot_ids = size, table
-        return gather(table, np.concatenate([[0], np.cumsum(size)]), codes), np.concatenate([[0], np.cumsum(size[codes])])[ends]
+        codes = codes[d.indices.to_numpy()]
+        return gather(table, np.concatenate([[0], np.cumsum(size)]), codes), np.concatenate([[0], np.cumsum(size[codes])])[np.searchsorted(at, off)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return gather(self.piece_raw, self.piece_off, ids).tobytes()
 
+    def texts(self, ids: np.ndarray, off: np.ndarray) -> pa.Array:
+        """The decoded texts of rows of pieces, given n + 1 offsets, without their prefix; bytes that are not UTF-8 become U+FFFD."""
+        b = gather(self.piece_raw, self.piece_off, ids)
+        ends = np.concatenate([[0], np.cumsum((self.piece_off[1:] - self.piece_off[:-1])[ids])])[off]
+        some = np.flatnonzero(ends[1:] > ends[:-1])
+        if not self.prefix or (b[ends[some]] == 32).all():
+            bare, to = b, ends
+            if self.prefix:
+                bare, to = np.delete(b, ends[some]), ends - np.searchsorted(some, np.arange(len(ends)))
+            out = pa.StringArray.from_buffers(len(off) - 1, pa.py_buffer(to.astype(np.int32)), pa.py_buffer(bare))
+            try:
+                out.validate(full=True)
+                return out
+            except pa.ArrowInvalid:
+                pass
+        return pa.array([b[x:y].tobytes().decode("utf-8", "replace")[len(self.prefix) :] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string())
+
     def ids_of(self, piece: str) -> list[int]:
         if piece in self.ids:
             return [self.ids[piece]]
@@ -173,6 +227,15 @@ def gather(values: np.ndarray, off: np.ndarray, which: np.ndarray) -> np.ndarray
     return values[np.arange(total[-1]) + np.repeat(off[:-1][which] - (total - size), size)]
 
 
+def unit_starts(b: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Places where words with the spaces before them, runs of spaces before a line feed or the end, and line feeds start."""
+    space, feed = b == 32, b == 10
+    start = feed.copy()
+    start[1:] |= feed[:-1] | (space[1:] & ~space[:-1])
+    start[off[:-1][off[:-1] < len(b)]] = True
+    return np.flatnonzero(start)
+
+
 class Chunk:
     """A chunk with enough text around it to see its cuts' states; places are relative to ``text``."""
 
@@ -351,31 +414,33 @@ def encode_giants(giants: DataFrame, model: str = MODEL, chunk: int = CHUNK, fan
     return _traced(chunks, written(states, "states"), model)
 
 
-def encode(documents: DataFrame, model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK, fan: int = FAN, keep: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """doc_id, the columns ``keep``, and ids array<int> of every document.
+def encode(documents: DataFrame, model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK, fan: int = FAN, keep: tuple[str, ...] = ("source", "lang"), decoded: str | None = None) -> DataFrame:
+    """doc_id, the columns ``keep``, and ids array<int> of every document; with ``decoded``, a column of that name too, of the text that the ids give again.
 
-    Only giants move: the others are encoded where they are read.
+    Only giants move: the others are encoded, and decoded, where they are read.
     """
-    keep = tuple(c for c in dict.fromkeys(keep) if c not in ("doc_id", "ids"))
+    keep = tuple(c for c in dict.fromkeys(keep) if c not in ("doc_id", "ids", decoded))
     kept = ["doc_id", *keep]
-    text, h, key = (free_name([*documents.columns, "doc_id", "ids"], c) for c in ("_text", "_h", "_key"))
+    last = [decoded] if decoded else []
+    text, h, key = (free_name([*documents.columns, "doc_id", "ids", *last], c) for c in ("_text", "_h", "_key"))
     d = documents.select(*[F.col(f"`{c}`") for c in kept], F.coalesce("text", F.lit("")).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model)
         for batch in batches:
             for part in slices(batch, text):
-                ids, off = m.encode([m.normal(t) for t in part.column(text).to_pylist()])
+                ids, off = m.encode_column(part.column(text))
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], lists], [*kept, "ids"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], lists, *[m.texts(ids, off) for _ in last]], [*kept, "ids", *last])
 
-    schema = T.StructType([*[f for f in d.schema if f.name in keep or f.name == "doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*[f for f in d.schema if f.name in keep or f.name == "doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), *[T.StructField(c, T.StringType()) for c in last]])
     short = d.where(F.length(text) <= giant).mapInArrow(run, schema)
     long = d.where(F.length(text) > giant).withColumns({h: F.xxhash64(text), key: F.coalesce("doc_id", F.lit(-1))})
     pieces = encode_giants(long.select(F.col(key).alias("doc_id"), F.col(h).alias("h"), F.col(text).alias("text")).dropDuplicates(["doc_id", "h"]), model, chunk, fan)
     # a giant's pieces make one row, as its text does
     whole = pieces.groupBy(F.col("doc_id").alias(key), F.col("h").alias(h)).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return short.unionByName(long.drop(text).join(whole, [key, h]).select(*[F.col(f"`{c}`") for c in kept], "ids"))
+    giants = long.drop(text).join(whole, [key, h]).select(*[F.col(f"`{c}`") for c in kept], "ids")
+    return short.unionByName(decode(giants, model, (*keep, "ids"), decoded) if decoded else giants)
 
 
 def decode(encoded: DataFrame, model: str = MODEL, keep: tuple[str, ...] = (), text: str = "text") -> DataFrame:
@@ -386,9 +451,15 @@ def decode(encoded: DataFrame, model: str = MODEL, keep: tuple[str, ...] = (), t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(model)
         for batch in batches:
-            ids = batch.column("ids")
-            texts = [m.decode(ids[i].values.to_numpy()).decode("utf-8", "replace")[len(m.prefix) :] if len(ids[i] or ()) else "" for i in range(len(ids))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(texts, pa.string())], [*kept, text])
+            start, n = 0, batch.num_rows
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy())
+            while start < n:  # rows of DECODED pieces at a time, or one
+                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + DECODED, side="right")))
+                part = batch.slice(start, stop - start)
+                ids = part.column("ids")  # flatten leaves out what a null row may hold
+                off = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], m.texts(ids.flatten().to_numpy(), off)], [*kept, text])
+                start = stop
 
     schema = T.StructType([*[encoded.schema[c] for c in kept], T.StructField(text, T.StringType())])
     return encoded.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)

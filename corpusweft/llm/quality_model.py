@@ -132,11 +132,15 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
+def chosen(labels: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """(doc_id, y) of the labels to learn from, ``most`` at most."""
+    known = labels.where("doc_id is not null and quality is not null").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("y"))
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
 def fit(table: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Forest:
     """Train on the labelled rows that are not held out; only ``most`` rows reach the driver."""
-    known = labels.where("doc_id is not null and quality is not null").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("y"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    got = table.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("y").alias("y")).orderBy("doc_id").toArrow()
+    got = table.join(chosen(labels, most), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("y").alias("y")).orderBy("doc_id").toArrow()
     x = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)) if got.num_rows else np.zeros((0, len(FEATURES)), np.float32)
     return train(x, got["y"].to_numpy().astype(float))
 
@@ -155,12 +159,14 @@ def quality_scores(documents: DataFrame, labels: DataFrame, threshold: float = T
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def good_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def good_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = MOST_ROWS) -> DataFrame:
     """The rows of documents that the classifier keeps, with all their columns.
 
     The decision is made from each row's own text, so no join and no second key is needed.
+    Features for training are made of the chosen rows only, whose doc_ids go to where the texts are.
     """
-    forest = fit(feature_table(documents.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")), labels)
+    labels = written(chosen(labels, most).withColumnRenamed("y", "quality"), "chosen")
+    forest = fit(feature_table(documents.join(F.broadcast(labels.select("doc_id")), "doc_id", "left_semi")), labels, most)
     schema = documents.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -170,6 +170,32 @@ def test_pieces(spark, odd, docs, chunk):
     assert pieces.encode(d.limit(0)).count() == 0
 
 
+def test_pieces_of_a_column_and_their_texts(spark):
+    m, rnd = pieces.load(pieces.MODEL), random.Random(3)
+    some = ["a", "b", " ", "  ", "\n", "\u2581", "é", "😀", "\t", "\r", " the", "world", ".", "\x00", "ﬀ"]
+    texts = ["".join(rnd.choices(some, k=rnd.randint(0, 25))) for _ in range(300)] + ["", " ", "\n", "x" * 40_000]
+    want = {i: (m.lib.encode(t), t.replace(pieces.MARK, " ")) for i, t in enumerate(texts)}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pieces.encode(rows, keep=("text",), decoded="text")
+    assert got.columns == ["doc_id", "ids", "text"] and {r["doc_id"]: (list(r["ids"]), r["text"]) for r in got.collect()} == want
+    for t in texts:
+        t = m.normal(t).replace(pieces.MARK, " ")
+        starts = pieces.unit_starts(*raw(pa.array([t])))
+        assert [x.tobytes().decode() for x in np.split(np.frombuffer(t.encode(), np.uint8), starts[1:])] == ([u.replace(pieces.MARK, " ") for u in m.units.findall(t.replace(" ", pieces.MARK))] or [""])
+    bad = np.array([m.bytes["<0xC3>"], m.bytes["<0xA9>"], m.bytes["<0xC3>"], *m.lib.encode("x")], np.int32)
+    off = np.array([0, 2, 2, 3, len(bad)])
+    assert m.texts(bad, off).to_pylist() == [m.decode(bad[a:b]).decode("utf-8", "replace")[1:] for a, b in zip(off[:-1], off[1:])]
+
+
+def test_equal_texts_are_encoded_once(monkeypatch):
+    m, seen = pieces.load(pieces.MODEL), []
+    own = pieces.Pieces._encode
+    monkeypatch.setattr(pieces.Pieces, "_encode", lambda self, texts: seen.append(len(texts)) or own(self, texts))
+    ids, off = m.encode_column(pa.array(["one two", "three", "one two", "", "three"]))
+    assert seen == [3]
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [m.lib.encode(t) for t in ("one two", "three", "one two", "", "three")]
+
+
 def test_maxplus_is_associative():
     rng = np.random.default_rng(1)
     a, b, c = rng.normal(size=(3, 4)), rng.normal(size=(4, 2)), rng.normal(size=(2, 5))
@@ -534,6 +560,34 @@ def test_classifier(spark, odd, empty, docs, sf):
     assert good.columns == odd.columns
 
 
+def test_features_for_training_are_of_chosen_rows_only(spark, docs, sf, monkeypatch):
+    labels, rows = spark.read.parquet(f"{sf}/labels.parquet"), []
+    own = quality_model.feature_table
+
+    def counted(d):
+        rows.append((d.count(), d._jdf.queryExecution().toString()))
+        return own(d)
+
+    monkeypatch.setattr(quality_model, "feature_table", counted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = sorted(r["doc_id"] for r in quality_model.good_documents(docs, labels, most=25).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows[0][0] == 25 and "SortMergeJoin" not in rows[0][1]  # texts aren't sent
+    forest = quality_model.fit(own(docs), labels, 25)
+    x = quality_model.features(pa.array([r["text"] for r in docs.collect()]))
+    assert kept == sorted(r["doc_id"] for r, s in zip(docs.collect(), forest.scores(x)) if s >= quality_model.THRESHOLD)
+
+
+def test_distinct_words_of_texts():
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (0, 1, 19, 20, 45, 300)]
+    s, split = doc_stats(pa.array(texts)), [t.split() for t in texts]
+    assert s["n_distinct"].tolist() == [len(set(w)) for w in split]
+    assert s["variety"].tolist() == [sum(len(set(w[i : i + 20])) for i in range(0, len(w) // 20 * 20, 20)) for w in split]
+
+
 def test_forest():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 4)).astype(np.float32)

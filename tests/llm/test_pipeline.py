@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusweft.llm import near_dedup, pieces, quality_model, suffix_dedup
+from corpusweft.llm import mixing, near_dedup, pieces, quality_model, suffix_dedup
 from corpusweft.llm.shared import written
 
 
@@ -49,3 +49,12 @@ def test_odd_rows_pass_through(spark, sf):
 
 def test_run(spark, sf, stages):
     assert corpus_pipeline.run(spark, sf).count() == stages[-1].count()
+
+
+def test_mix_reads_texts_once_for_sizes(spark, sf, monkeypatch):
+    names, own = [], mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df, name: names.append(name) or own(df, name))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    times = {r["doc_id"]: r["count"] for r in mixing.mixed(docs.withColumns({"_size": F.lit(1), "_shuffle": F.lit("x")})).groupBy("doc_id").count().collect()}
+    assert names == ["marked", "targets"]
+    assert times == {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix(docs).collect() if r["taken"]}

@@ -185,6 +185,12 @@ def test_links(spark):
     assert H.edges(H.page_links(d)).first().asDict() == {"src_scheme": "http", "src_host": "h.org", "scheme": "http", "host": "b.org", "path": "/d/xy"}
 
 
+def test_links_of_pages_that_share_a_url(spark):
+    d = spark.createDataFrame([("http://h.org/", '<a href="/x">1</a><a href="/x">2</a><a href="/y">3</a>'), ("http://h.org/", '<a href="/x">1</a>'), ("http://g.org/", '<a href="/x">1</a>'), ("http://g.org/", None)], "url string, html string")
+    want = [("http://g.org/", "http://g.org/x"), ("http://h.org/", "http://h.org/x"), ("http://h.org/", "http://h.org/y")]
+    assert sorted(map(tuple, H.regex_links(d).collect())) == want
+
+
 def test_decode():
     assert H.decode_html("é".encode("latin-1") + b"<meta charset=latin-1>")[0].startswith("é")
     assert H.decode_html("é".encode())[0] == "é" and H.decode_html(b"\xff")[0] is None and H.decode_html(b"a<meta charset=nope>")[0]

@@ -189,6 +189,7 @@ def test_links_of_pages_that_share_a_url(spark):
     d = spark.createDataFrame([("http://h.org/", '<a href="/x">1</a><a href="/x">2</a><a href="/y">3</a>'), ("http://h.org/", '<a href="/x">1</a>'), ("http://g.org/", '<a href="/x">1</a>'), ("http://g.org/", None)], "url string, html string")
     want = [("http://g.org/", "http://g.org/x"), ("http://h.org/", "http://h.org/x"), ("http://h.org/", "http://h.org/y")]
     assert sorted(map(tuple, H.regex_links(d).collect())) == want
+    assert sorted((r["url"], r["link"]) for r in H.page_links(d).collect()) == want
 
 
 def test_decode():

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
 
 from ..config import SMALL, Config
 from ..functions import html as H, http, text as T
-from ..functions.vectorised import typed
+from ..functions.vectorised import by_slices
 from ..lineage import cut
 from ..operators import boilerplate, dedup, gramcodes, langid, stats
 
@@ -59,11 +56,10 @@ def extracted(pages: DataFrame, stops: DataFrame, models: DataFrame, config: Con
     known, sets = gramcodes.small_model(models), boilerplate.stop_sets(stops)
     own = [page_id, "url", F.octet_length("html").alias("html_len"), T.content_key(F.col("html")).alias("html_key"), T.is_translated(F.col("html")).alias("translated")]
     if known is not None and sets is not None:
-        def run(html: pa.Array) -> pa.Array:
-            return pa.array([extract_page(h, known, sets, config) for h in html.to_pylist()], kind)
+        def run(html: list[str | None]) -> list[dict]:
+            return [extract_page(h, known, sets, config) for h in html]
 
-        kind = to_arrow_type(StructType.fromDDL(EXTRACT))
-        return pages.select(*own, F.arrow_udf(typed(run, pa.Array), EXTRACT)("html").alias("p")).select(page_id, "url", "html_len", "html_key", "translated", "p.*")
+        return pages.select(*own, by_slices(run, EXTRACT)(F.col("html")).alias("p")).select(page_id, "url", "html_len", "html_key", "translated", "p.*")
     p = pages.select(*own, H.parsed_page(F.col("html")).alias("p")).select(page_id, "url", "html_len", "html_key", "translated", "p.*")
     whole = cut(p.withColumn("_text", F.array_join(F.transform("paragraphs", lambda x: x["text"]), "\n")))
     lang = langid.detect(whole.select(page_id, "_text"), models, page_id, "_text").withColumnRenamed("detected", "lang").withColumnRenamed("difference", "lang_diff")

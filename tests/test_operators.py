@@ -78,6 +78,44 @@ def test_extraction_by_arrays_and_by_join(spark, sf, monkeypatch):
     assert 0 < strict < reprocess.extracted(pages, stops, models).agg(F.sum(F.length("text"))).first()[0]
 
 
+def counted(row):
+    """A function of a page that returns row with, as title, how many of its rows are alive."""
+    class Row(dict):
+        live = 0
+
+        def __del__(self):
+            Row.live -= 1
+
+    def parse(html, *more):
+        Row.live += 1
+        return Row(row, title=str(Row.live))
+
+    return parse
+
+
+def long_pages(spark, n=400):
+    return spark.range(0, n, 1, 1).select(F.col("id").alias("page_id"), F.lit("en").alias("lang"), F.lit("http://h.org/").alias("url"), F.repeat(F.lit("x"), F.lit(20_000)).alias("html"))
+
+
+def test_extraction_holds_few_pages(spark, monkeypatch):
+    models, stops = spark.createDataFrame([("en", "abc", 1)], "lang string, gram string, n long"), spark.createDataFrame([("en", "the")], "lang string, word string")
+    monkeypatch.setattr(reprocess, "extract_page", counted({"paragraphs": [], "hrefs": [], "base": None, "lang": None, "lang_diff": None, "text": ""}))
+    most, n = reprocess.extracted(long_pages(spark), stops, models).agg(F.max(F.col("title").cast("int")), F.count("title")).first()
+    assert most < 120 and n == 400
+
+
+def test_runs_of_rows():
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusweft.functions import vectorised as V
+
+    a = pa.array([[{"s": "abc", "i": 1}, {"s": None, "i": 2}], None, [], [{"s": "é", "i": 3}]], pa.list_(pa.struct([("s", pa.string()), ("i", pa.int32())])))
+    assert V.row_bytes(a).tolist() == [3 + 2 * 16, 0, 0, 2 + 16] and V.row_bytes(a[1:]).tolist() == [0, 0, 18]
+    assert V.row_bytes(pa.array([b"ab", None], pa.binary())).tolist() == [2, 0] and V.row_bytes(pa.array([], pa.string())).tolist() == []
+    assert list(V.runs(np.array([1, 2, 9, 1, 1]), 3)) == [(0, 2), (2, 3), (3, 5)] and list(V.runs(np.array([], int), 3)) == []
+
+
 def paragraph(text, links=0, path="body.p"):
     return {"text": text, "words": len(text.split()), "link_chars": links, "dom_path": path}
 

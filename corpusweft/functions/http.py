@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import SMALL, Config
 from . import url as U
 from .url import resolve_link
-from .vectorised import vectorised
+from .vectorised import sliced
 
 REDIRECTS = (301, 302, 303, 307)
 #: file type by media type
@@ -81,10 +81,10 @@ def parse_response(data: bytes | None, robots: bool = False) -> dict:
     return row | {"body": body}
 
 
-@vectorised(PARSED)
-def response(data: pd.Series, robots: pd.Series) -> pd.DataFrame:
-    rows = [parse_response(None if d is None else bytes(d), bool(r)) for d, r in zip(data, robots)]
-    return pd.DataFrame(rows, columns=["code", "message", "headers", "body", "error"]).astype({"code": "Int32"})
+@sliced(PARSED)
+def response(data: list[bytes | None], robots: list[bool | None]) -> list[dict]:
+    rows = (parse_response(d, bool(r)) for d, r in zip(data, robots))
+    return [row | {"headers": list(row["headers"].items())} for row in rows]
 
 
 def file_type(headers: Column) -> Column:

@@ -6,7 +6,7 @@ from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from corpusweft.config import Config
-from corpusweft.functions import convert, html as H, http, robots as R, text as T, url as U
+from corpusweft.functions import convert, html as H, http, robots as R, text as T, url as U, vectorised as V
 
 
 def column(spark, values, kind="string"):
@@ -192,6 +192,41 @@ def test_links_of_pages_that_share_a_url(spark):
     assert sorted((r["url"], r["link"]) for r in H.page_links(d).collect()) == want
 
 
+def test_links_hold_few_pages(spark, monkeypatch):
+    class Row(dict):
+        live = 0
+
+        def __del__(self):
+            Row.live -= 1
+
+    def parse(html):
+        Row.live += 1
+        return Row(base=f"http://h.org/{Row.live}", hrefs=["x"])
+
+    monkeypatch.setattr(H, "parse_page", parse)
+    monkeypatch.setattr(H, "links_of", V.sliced("array<string>")(H.links_of.__wrapped__))  # sent to workers anew
+    d = spark.range(0, 400, 1, 1).select(F.concat(F.lit("http://h.org/"), "id").alias("url"), F.repeat(F.lit("x"), F.lit(20_000)).alias("html"))
+    most, n = H.page_links(d).agg(F.max(F.regexp_extract("path", r"\d+", 0).cast("int")), F.count("link")).first()
+    assert most < 120 and n == 400
+
+
+def test_responses_come_in_few_rows(spark, monkeypatch):
+    class Seen:
+        rows = 0
+
+    def parse(data, robots):
+        Seen.rows += 1
+        return {"code": Seen.rows, "message": None, "headers": {"a": "b"}, "body": data[:1], "error": None}
+
+    monkeypatch.setattr(http, "parse_response", parse)
+    sizes = V.sliced("int")(lambda data, robots: [len(data)] * len(data))
+    d = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), F.lit(20_000)).cast("binary").alias("x"), F.lit(False).alias("r"))
+    most, n = d.select(sizes("x", "r").alias("k")).agg(F.max("k"), F.count("k")).first()
+    assert most < 120 and n == 400
+    got = d.select(V.sliced(http.PARSED)(http.response.__wrapped__)("x", "r").alias("p")).select("p.*").collect()
+    assert [r["code"] for r in got] == list(range(1, 401)) and got[0]["headers"] == {"a": "b"} and got[0]["body"] == b"x"
+
+
 def test_decode():
     assert H.decode_html("é".encode("latin-1") + b"<meta charset=latin-1>")[0].startswith("é")
     assert H.decode_html("é".encode())[0] == "é" and H.decode_html(b"\xff")[0] is None and H.decode_html(b"a<meta charset=nope>")[0]

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import SMALL, Config
-from ..functions import text as T
-from ..functions.vectorised import typed, vectorised
+from ..functions import html as H, text as T
+from ..functions.vectorised import by_slices, sliced
 
 STOP_ROWS = 1_000_000
 _SPACE = re.compile("[\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")  # Unicode white space
@@ -92,9 +91,9 @@ def revise(paragraphs: list[dict], config: Config = SMALL) -> list[dict]:
     return [p | {"class": c} for p, c in zip(paragraphs, cls)]
 
 
-@vectorised(CLASSED)
-def _revised(paragraphs: pd.Series) -> pd.Series:
-    return paragraphs.map(lambda ps: revise([dict(p) for p in ps]) if ps is not None else None)
+@sliced(CLASSED)
+def _revised(paragraphs: list[list[dict] | None]) -> list[list[dict] | None]:
+    return [revise(ps) if ps is not None else None for ps in paragraphs]
 
 
 def free_class(p: dict, stops: frozenset[str], config: Config = SMALL) -> dict:
@@ -125,17 +124,22 @@ def stop_sets(stops: DataFrame, most: int = STOP_ROWS) -> dict[str, frozenset[st
     return {k: frozenset(v) for k, v in out.items()}
 
 
-def classify(pages: DataFrame, stops: DataFrame, lang: str = "lang", paragraphs: str = "paragraphs", config: Config = SMALL, most: int = STOP_ROWS) -> DataFrame:
+def classify(pages: DataFrame, stops: DataFrame, lang: str = "lang", paragraphs: str = "paragraphs", config: Config = SMALL, most: int = STOP_ROWS, html: str | None = None) -> DataFrame:
     """Pages with ``paragraphs`` as structs that end in heading, cfclass and class; stops: (lang, word).
 
     Lists of at most ``most`` words in all are looked up as sets; larger ones are joined.
+    If html names a column, ``paragraphs`` are those of its pages, parsed in the same pass as the look-up.
     """
     sets = stop_sets(stops, most)
     if sets is not None:
-        def run(langs: pd.Series, found: pd.Series) -> pd.Series:
-            return pd.Series([None if ps is None else revise([free_class(dict(p), sets.get(k, frozenset()), config) for p in ps], config) for k, ps in zip(langs, found)], dtype=object)
-
-        return pages.withColumn(paragraphs, F.pandas_udf(typed(run, pd.Series), CLASSED)(F.col(lang), F.col(paragraphs)))
+        def run(langs: list[str | None], found: list) -> list[list[dict] | None]:
+            if html:
+                found = (H.parse_page(h)["paragraphs"] for h in found)
+            return [None if ps is None else revise([free_class(p, sets.get(k, frozenset()), config) for p in ps], config) for k, ps in zip(langs, found)]
+
+        return pages.withColumn(paragraphs, by_slices(run, CLASSED)(F.col(lang), F.col(html or paragraphs)))
+    if html:
+        pages = pages.withColumn(paragraphs, H.parsed_page(F.col(html))["paragraphs"])
     lists = stops.groupBy(F.col("lang").alias("_lang")).agg(F.collect_set("word").alias("_stops"))
     j = pages.join(lists, pages[lang] == F.col("_lang"), "left").withColumn("_stops", F.coalesce("_stops", F.array().cast("array<string>")))
     free = F.transform(F.col(paragraphs), lambda p: F.struct(p["text"], p["words"], p["link_chars"], p["dom_path"], is_heading(p).alias("heading"), context_free(p, F.col("_stops"), config).alias("cfclass")))

@@ -389,8 +389,8 @@ def page_links_resolved(spark: SparkSession, d: str) -> DataFrame:
 def paragraph_classes(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents")
     stops = langid.stop_words(docs, 100).select("lang", "word")
-    p = read(spark, d, "pages").select("page_id", F.lit("en").alias("lang"), H.parsed_page(F.col("html")).alias("p")).select("page_id", "lang", "p.paragraphs")
-    return boilerplate.classify(p, stops).select("page_id", F.posexplode("paragraphs").alias("par_idx", "p")).select("page_id", "par_idx", "p.*")
+    p = read(spark, d, "pages").select("page_id", F.lit("en").alias("lang"), "html")
+    return boilerplate.classify(p, stops, html="html").select("page_id", F.posexplode("paragraphs").alias("par_idx", "p")).select("page_id", "par_idx", "p.*")
 
 
 @query()

@@ -104,6 +104,26 @@ def test_extraction_holds_few_pages(spark, monkeypatch):
     assert most < 120 and n == 400
 
 
+def test_classes_hold_few_pages(spark, monkeypatch):
+    stops, parse = spark.createDataFrame([("en", "the")], "lang string, word string"), counted({})
+    monkeypatch.setattr(B, "free_class", lambda p, *more: p | {"dom_path": (row := parse(None))["title"], "heading": False, "cfclass": "bad", "alive": row})
+    p = long_pages(spark).withColumn("paragraphs", F.array(F.struct(F.col("html").alias("text"), F.lit(1).alias("words"), F.lit(0).alias("link_chars"), F.lit("p").alias("dom_path"))))
+    for found in (lambda: B.classify(p, stops), lambda: B.classify(long_pages(spark), stops, html="html")):
+        most, n = found().agg(F.max(F.col("paragraphs")[0]["dom_path"].cast("int")), F.count(F.col("paragraphs")[0]["text"])).first()
+        assert most < 120 and n == 400
+
+
+def test_classes_of_html(spark, sf):
+    from corpusweft.functions import html as H
+
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.lit("en").alias("lang"), "html").unionByName(spark.createDataFrame([(-1, "xx", None), (-2, None, "")], "page_id long, lang string, html string"))
+    stops = langid.stop_words(spark.read.parquet(f"{sf}/documents.parquet"), 100).select("lang", "word")
+    parsed = pages.select("page_id", "lang", H.parsed_page(F.col("html"))["paragraphs"].alias("paragraphs"))
+    want = B.classify(parsed, stops).orderBy("page_id").collect()
+    for most in (10**6, 0):
+        assert B.classify(pages, stops, most=most, html="html").select("page_id", "lang", "paragraphs").orderBy("page_id").collect() == want
+
+
 def test_runs_of_rows():
     import numpy as np
     import pyarrow as pa

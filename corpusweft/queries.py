@@ -390,7 +390,8 @@ def paragraph_classes(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents")
     stops = langid.stop_words(docs, 100).select("lang", "word")
     p = read(spark, d, "pages").select("page_id", F.lit("en").alias("lang"), "html")
-    return boilerplate.classify(p, stops, html="html").select("page_id", F.posexplode("paragraphs").alias("par_idx", "p")).select("page_id", "par_idx", "p.*")
+    found = boilerplate.classify(p, stops, html="html").select("page_id", F.posexplode_outer("paragraphs").alias("par_idx", "p"))
+    return found.where("par_idx is not null").select("page_id", "par_idx", "p.*")  # a plain posexplode has pages filtered by their paragraphs first, so parsed twice
 
 
 @query()

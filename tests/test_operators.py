@@ -124,6 +124,12 @@ def test_classes_of_html(spark, sf):
         assert B.classify(pages, stops, most=most, html="html").select("page_id", "lang", "paragraphs").orderBy("page_id").collect() == want
 
 
+def test_paragraph_classes_parse_once(spark, sf):
+    from corpusweft import queries
+
+    assert queries.paragraph_classes(spark, sf)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_runs_of_rows():
     import numpy as np
     import pyarrow as pa
